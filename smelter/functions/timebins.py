@@ -28,10 +28,11 @@ def moment(as_of: Column | dt.datetime | str | None) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def time_after(ts: Column, as_of: Column | dt.datetime | str | None, back: dt.timedelta) -> Column:
-    """True where ``ts`` is later than ``back`` before ``as_of``, strictly.
+def look_back(as_of: Column | dt.datetime | str | None, back: dt.timedelta) -> Column:
+    """The instant ``back`` before ``as_of``; constant within a query."""
+    return moment(as_of) - F.make_dt_interval(secs=F.lit(back // dt.timedelta(seconds=1)))
 
-    The right side is a constant for the query, so the test reaches the scan.
-    """
-    seconds = back // dt.timedelta(seconds=1)
-    return ts > moment(as_of) - F.make_dt_interval(secs=F.lit(seconds))
+
+def time_after(ts: Column, as_of: Column | dt.datetime | str | None, back: dt.timedelta) -> Column:
+    """True where ``ts`` is later than ``back`` before ``as_of``, strictly."""
+    return ts > look_back(as_of, back)

@@ -9,26 +9,34 @@ from pyspark.sql import functions as F
 
 from smelter.functions.casts import ref
 
-_RANK = "__rank_in_key"
+_RANK, _BEST = "__rank_in_key", "__best_of_key"
 
 
 def latest_per_key(
-    df: DataFrame, keys: str | Sequence[str], newest_by: Sequence[str] = ("ingestion_timestamp",)
+    df: DataFrame,
+    keys: str | Sequence[str],
+    newest_by: Sequence[str] = ("ingestion_timestamp",),
+    copies: str | None = None,
 ) -> DataFrame:
     """The newest row of each key; NULL keys count as one key.
 
     Ties on ``newest_by`` go by all other columns, so the result does not depend
-    on how the data is split.  Each task keeps one row per key before the
-    shuffle (Spark's window group limit), so a key that holds a third of the
-    table sends one row per task, not a third of the table.
+    on how the data is split.  Either form below keeps one row per key and task
+    before the shuffle, so a key that holds a third of the table sends one row
+    per task, not a third of the table.
+
+    ``copies`` names an extra column with the number of rows each key had.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [c for c in newest_by if c in df.columns]
-    rest = [c for c in df.columns if c not in keys and c not in newest]
-    order = [ref(c).desc_nulls_last() for c in [*newest, *rest]]
-    if not order:
+    ranked = [*newest, *[c for c in df.columns if c not in keys and c not in newest]]
+    if copies is not None:
+        best = F.max(F.struct(F.lit(0).alias(_RANK), *map(ref, ranked))).alias(_BEST)
+        columns = [ref(c) if c in keys else F.col(_BEST)[c].alias(c) for c in df.columns]
+        return df.groupBy(*map(ref, keys)).agg(best, F.count(F.lit(1)).alias(copies)).select(*columns, copies)
+    if not ranked:
         return df.distinct()
-    window = Window.partitionBy(*map(ref, keys)).orderBy(*order)
+    window = Window.partitionBy(*map(ref, keys)).orderBy(*[ref(c).desc_nulls_last() for c in ranked])
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 

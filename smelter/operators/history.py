@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.casts import ref
 from smelter.functions.timebins import bin_time, moment
+from smelter.operators.dedup import latest_per_key
 
 FROM, TO, CURRENT = "effective_from", "effective_to", "is_current"
 
@@ -84,15 +85,7 @@ def build_history(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     track = list(track) if track is not None else [c for c in df.columns if c not in keys and c != since]
-    others = [c for c in df.columns if c not in keys and c != since]
-    dated = df.where(ref(since).isNotNull())
-    if others:
-        # One row per key and time; the greatest, by tracked columns first.
-        ranked = [c for c in track if c in others] + [c for c in others if c not in track]
-        window = Window.partitionBy(*map(ref, keys), ref(since)).orderBy(*[ref(c).desc_nulls_last() for c in ranked])
-        dated = dated.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
-    else:
-        dated = dated.distinct()
+    dated = latest_per_key(df.where(ref(since).isNotNull()), [*keys, since], newest_by=track)
     state = F.struct(*[ref(c) for c in track]) if track else F.struct(F.lit(1))
     versions = dated.withColumns({_BIN: bin_time(ref(since), bin_width), "__state": state})
     changed = (
