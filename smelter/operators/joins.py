@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +20,21 @@ NULL_PIECES = 4096
 _PIECE, _PIECES = "__piece", "__pieces"
 
 
-def split_keys(df: DataFrame, on: str, rows_per_piece: int, max_keys: int = MAX_SPLIT_KEYS) -> DataFrame:
-    """Keys too frequent for one task, and into how many pieces to cut each."""
+def split_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_piece: int, max_keys: int = MAX_SPLIT_KEYS
+) -> DataFrame:
+    """Keys too frequent for one task, and into how many pieces to cut each.
+
+    Small by construction: at most ``max_keys`` rows, so it may be broadcast.
+    """
+    key_cols = list(map(ref, keys))
     return (
-        df.where(ref(on).isNotNull())
-        .groupBy(ref(on))
+        df.groupBy(*key_cols)
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > rows_per_piece)
-        .orderBy(F.desc("__n"), ref(on))
+        .orderBy(F.desc("__n"), *key_cols)
         .limit(max_keys)
-        .select(ref(on), F.ceil(F.col("__n") / rows_per_piece).cast("int").alias(_PIECES))
+        .select(*key_cols, F.ceil(F.col("__n") / rows_per_piece).cast("int").alias(_PIECES))
     )
 
 
@@ -44,7 +51,7 @@ def left_join_features(
     and its single features row is repeated for each piece, so no task gets all
     of them.  ``on`` comes first in the result and stands there once.
     """
-    split = F.broadcast(split_keys(facts, on, rows_per_piece, max_split_keys))
+    split = F.broadcast(split_keys(facts.where(ref(on).isNotNull()), [on], rows_per_piece, max_split_keys))
     row_hash = F.xxhash64(*[ref(c) for c in facts.columns if c != on])
     piece = (
         F.when(ref(on).isNull(), F.pmod(row_hash, F.lit(NULL_PIECES)).cast("int"))
