@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +135,12 @@ def build_monthly_summary(spark: SparkSession, lake: Lake, run: Run) -> None:
     _gold(lake, "monthly_claims_summary", features.stamp(summary, run))
 
 
+def _together(*steps: Callable[[], object]) -> list:
+    """Run independent steps at once, so that small ones do not wait for large ones."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def run_batch(
     spark: SparkSession, lake: Lake, sources: Mapping[str, str | Sequence[str]], run: Run | None = None
 ) -> dict[str, dict]:
@@ -140,17 +148,23 @@ def run_batch(
 
     Raw files are appended, silver and gold rebuilt from everything stored.
     """
-    unknown = sorted(set(sources) - set(ENTITIES))
-    if unknown:
-        raise ValueError(f"unknown entities: {unknown}")
+    if set(sources) != set(ENTITIES):
+        raise ValueError(f"sources are needed for exactly these entities: {sorted(ENTITIES)}")
     run = run or Run()
     report: dict[str, dict] = {}
-    for name, paths in sources.items():
-        entity = ENTITIES[name]
-        report[f"bronze_{name}"] = ingest(spark, lake, entity, paths, run)
-        report[f"silver_{name}"] = clean(spark, lake, entity, run)
-    build_claims_features(spark, lake, run)
-    build_customer_features(spark, lake, run)
-    build_risk_features(spark, lake, run)
-    build_monthly_summary(spark, lake, run)
+
+    def refine(name: str) -> None:
+        report[f"bronze_{name}"] = ingest(spark, lake, ENTITIES[name], sources[name], run)
+        report[f"silver_{name}"] = clean(spark, lake, ENTITIES[name], run)
+
+    def claims_then_risk() -> None:
+        build_claims_features(spark, lake, run)
+        build_risk_features(spark, lake, run)
+
+    _together(*[partial(refine, name) for name in sources])
+    _together(
+        claims_then_risk,
+        partial(build_customer_features, spark, lake, run),
+        partial(build_monthly_summary, spark, lake, run),
+    )
     return report

@@ -38,10 +38,16 @@ def build_session(
     """Session with UTC, adaptive execution and disk-backed streaming state.
 
     Give ``shuffle_partitions``, or ``input_bytes`` to derive it; with neither
-    the cluster's own setting stands.
+    the cluster's own setting stands.  With ``input_bytes`` small partitions are
+    also merged up to the target size, which sets the size of stored files.
     """
-    if shuffle_partitions is None and input_bytes is not None:
-        shuffle_partitions = shuffle_partitions_for(input_bytes)
+    sizing = {}
+    if input_bytes is not None:
+        shuffle_partitions = shuffle_partitions or shuffle_partitions_for(input_bytes)
+        sizing = {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        }
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -51,6 +57,7 @@ def build_session(
     }
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    settings.update(sizing)
     settings.update(extra or {})
     builder = SparkSession.builder.appName(app_name)
     if master:

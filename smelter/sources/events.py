@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.contracts import TYPES
-from smelter.functions.casts import cast_lenient, ref
+from smelter.functions.casts import AMOUNT_TYPE, cast_lenient, ref
 
 # (column, path such as $.claim.id, contract type)
 Field = tuple[str, str, str]
 
+# Digits a JSON number keeps for sure when it is read as text.
+DOUBLE_DIGITS = 15
+
 _PATH = re.compile(r"\$(\.\w+)+")
 
 
@@ -24,7 +28,7 @@ def _steps(path: str) -> list[str]:
     return path.split(".")[1:]
 
 
-def _document_schema(fields: Sequence[Field]) -> T.StructType:
+def _document_schema(fields: Sequence[Field], leaf_type: T.DataType) -> T.StructType:
     tree: dict = {}
     for _, path, _ in fields:
         *parents, leaf = _steps(path)
@@ -37,9 +41,7 @@ def _document_schema(fields: Sequence[Field]) -> T.StructType:
             raise ValueError(f"{path} is mapped as a parent too")
 
     def struct(node: dict) -> T.StructType:
-        return T.StructType(
-            [T.StructField(k, T.StringType() if v is None else struct(v)) for k, v in node.items()]
-        )
+        return T.StructType([T.StructField(k, leaf_type if v is None else struct(v)) for k, v in node.items()])
 
     return struct(tree)
 
@@ -47,12 +49,25 @@ def _document_schema(fields: Sequence[Field]) -> T.StructType:
 def extract_fields(events: DataFrame, fields: Sequence[Field], value: str = "value") -> DataFrame:
     """The mapped fields of each JSON document as strings, other columns kept.
 
-    Each document is parsed once.  A path the document lacks gives NULL, an
-    unreadable document a row of NULLs; unmapped members are left out.
+    A path the document lacks gives NULL, an unreadable document a row of NULLs;
+    unmapped members are left out.  Each document is parsed once, and again only
+    if it holds a decimal too long to have come through as text unrounded.
     """
-    document = F.from_json(ref(value), _document_schema(fields))
-    parsed = events.withColumn("__document", document)
-    columns = {name: F.col("__document." + ".".join(_steps(path))) for name, path, _ in fields}
+
+    def member(document: Column, path: str) -> Column:
+        return reduce(lambda node, step: node[step], _steps(path), document)
+
+    parsed = events.withColumn("__document", F.from_json(ref(value), _document_schema(fields, T.StringType())))
+    columns = {name: member(F.col("__document"), path) for name, path, _ in fields}
+    decimals = [f for f in fields if f[2] == "decimal"]
+    if decimals:
+        amount_type = T.DataType.fromDDL(AMOUNT_TYPE)
+        exact = F.from_json(ref(value), _document_schema(decimals, amount_type))
+        for name, path, _ in decimals:
+            long = F.length(columns[name]) > DOUBLE_DIGITS
+            columns[name] = F.when(
+                long, F.coalesce(member(exact, path).cast("string"), columns[name])
+            ).otherwise(columns[name])
     return parsed.withColumns(columns).drop("__document", *({value} - set(columns)))
 
 
