@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from smelter.contracts import ColumnRule, ColumnSpec, Contract
+from pyspark.sql import SparkSession
+
+from smelter.contracts import ColumnRule, ColumnSpec, Contract, load_contract
 
 
 @dataclass(frozen=True)
 class Entity:
     name: str
     key: str
-    raw: Contract
+    raw: Contract | None
     typed: Contract
     description: str
 
@@ -107,4 +109,20 @@ CLAIM_EVENT_FIELDS = (
     ("claim_status", "$.claim_status", "string"),
     ("event_timestamp", "$.event_timestamp", "timestamp"),
 )
+
+
+def with_contract_files(spark: SparkSession, entity: Entity, folder: str) -> Entity:
+    """The entity with the contracts of ``folder`` in place of the built-in ones.
+
+    Files are ``bronze/bronze_<name>.yaml`` and ``silver/silver_<name>.yaml``.
+    Without the first, raw data is not checked; the second must exist.
+    """
+    root = folder.rstrip("/")
+    return replace(
+        entity,
+        raw=load_contract(spark, f"{root}/bronze/bronze_{entity.name}.yaml", on_missing="skip"),
+        typed=load_contract(spark, f"{root}/silver/silver_{entity.name}.yaml"),
+    )
+
+
 ENTITIES = {e.name: e for e in (POLICIES, CLAIMS, CUSTOMERS, AGENTS)}

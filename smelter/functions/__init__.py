@@ -2,6 +2,6 @@
 
 from smelter.functions.casts import cast_lenient, ref
 from smelter.functions.scoring import risk_score
-from smelter.functions.timebins import bin_time, moment, time_after
+from smelter.functions.timebins import bin_time, look_back, moment, time_after, utc_date
 
-__all__ = ["bin_time", "cast_lenient", "moment", "ref", "risk_score", "time_after"]
+__all__ = ["bin_time", "cast_lenient", "look_back", "moment", "ref", "risk_score", "time_after", "utc_date"]

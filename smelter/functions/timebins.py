@@ -19,6 +19,12 @@ def bin_time(ts: Column, width: dt.timedelta = HOUR) -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(width // dt.timedelta(microseconds=1))))
 
 
+def utc_date(ts: Column) -> Column:
+    """The UTC day of ``ts``, whatever the session zone."""
+    seconds = F.unix_seconds(ts)
+    return F.date_from_unix_date(((seconds - F.pmod(seconds, F.lit(86400))) / 86400).cast("int"))
+
+
 def moment(as_of: Column | dt.datetime | str | None) -> Column:
     """A fixed instant as a column, or the query's own start when None."""
     if as_of is None:

@@ -7,11 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.functions.timebins import HOUR, bin_time, look_back, time_after
+from smelter.functions.timebins import HOUR, bin_time, look_back, time_after, utc_date
 
 Instant = Column | dt.datetime | str | None
 
-# The day of TIME; stored event tables are partitioned by it.
+# The UTC day of TIME; stored event tables are partitioned by it.
 TIME, DATE = "event_timestamp", "event_date"
 HIGH_VALUE = 50000
 ALERT_COLUMNS = (TIME, "claim_id", "policy_id", "customer_id", "claim_amount", "claim_status")
@@ -22,7 +22,7 @@ def _since(events: DataFrame, as_of: Instant, back: dt.timedelta) -> DataFrame:
     """Events of the look-back; other days' partitions are not read."""
     recent = time_after(F.col(TIME), as_of, back)
     if DATE in events.columns:
-        recent = recent & (F.col(DATE) >= F.to_date(look_back(as_of, back)))
+        recent = recent & (F.col(DATE) >= utc_date(look_back(as_of, back)))
     return events.where(recent)
 
 

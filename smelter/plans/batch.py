@@ -10,7 +10,6 @@ from functools import partial
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.contracts import Contract
 from smelter.entities import ENTITIES, Entity
 from smelter.operators import features
 from smelter.operators.conform import compile_contract
@@ -39,16 +38,15 @@ def ingest(
     entity: Entity,
     paths: str | Sequence[str],
     run: Run,
-    contract: Contract | None | str = "entity",
     source_system: str = SOURCE_SYSTEM,
 ) -> dict[str, int]:
     """Append CSV files to the entity's bronze table; returns what was counted.
 
     Missing columns stop it before anything is written.  Row count and NULLs in
     mandatory columns are counted by the write itself, in the same single pass.
-    ``contract=None`` (no contract file) ingests unchecked.
+    An entity without a raw contract is ingested unchecked.
     """
-    rules = entity.raw if contract == "entity" else contract
+    rules = entity.raw
     df = add_lineage(read_raw_csv(spark, paths), run, source_system)
     counters = [F.count(F.lit(1)).alias("record_count")]
     if rules is not None:
@@ -69,7 +67,6 @@ def clean(
     entity: Entity,
     run: Run,
     order: str = "dedup_first",
-    contract: Contract | None = None,
 ) -> dict[str, float]:
     """Rebuild the entity's silver table from all of bronze; returns its metrics.
 
@@ -80,9 +77,8 @@ def clean(
     """
     if order not in ("dedup_first", "validate_first"):
         raise ValueError("order is 'dedup_first' or 'validate_first'")
-    contract = contract or entity.typed
     bronze = lake.read(spark, "bronze", entity.name, merge_schema=True)
-    compiled = compile_contract(contract, bronze.schema)
+    compiled = compile_contract(entity.typed, bronze.schema)
     if order == "dedup_first":
         survivors = latest_per_key(bronze, entity.key, copies=COPIES).withColumns(compiled.columns)
     else:
@@ -142,20 +138,24 @@ def _together(*steps: Callable[[], object]) -> list:
 
 
 def run_batch(
-    spark: SparkSession, lake: Lake, sources: Mapping[str, str | Sequence[str]], run: Run | None = None
+    spark: SparkSession,
+    lake: Lake,
+    sources: Mapping[str, str | Sequence[str]],
+    run: Run | None = None,
+    entities: Mapping[str, Entity] = ENTITIES,
 ) -> dict[str, dict]:
     """The daily run over the CSV files of all entities; returns all counts.
 
     Raw files are appended, silver and gold rebuilt from everything stored.
     """
-    if set(sources) != set(ENTITIES):
-        raise ValueError(f"sources are needed for exactly these entities: {sorted(ENTITIES)}")
+    if set(sources) != set(entities):
+        raise ValueError(f"sources are needed for exactly these entities: {sorted(entities)}")
     run = run or Run()
     report: dict[str, dict] = {}
 
     def refine(name: str) -> None:
-        report[f"bronze_{name}"] = ingest(spark, lake, ENTITIES[name], sources[name], run)
-        report[f"silver_{name}"] = clean(spark, lake, ENTITIES[name], run)
+        report[f"bronze_{name}"] = ingest(spark, lake, entities[name], sources[name], run)
+        report[f"silver_{name}"] = clean(spark, lake, entities[name], run)
 
     def claims_then_risk() -> None:
         build_claims_features(spark, lake, run)

@@ -50,6 +50,8 @@ def run_realtime(
     """Take in pending events, bring typed claims up to date, sync gold.
 
     Safe to repeat: checkpoints below the lake's root remember what was done.
+    Typed claims read the raw table only once its batches are complete, so a
+    batch that is played again is never read half replaced.
     """
     run = run or Run()
     checkpoints = lake.path("checkpoints", TABLE)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from smelter.entities import CLAIM_EVENT_FIELDS
+from smelter.functions.timebins import utc_date
 from smelter.operators.monitor import DATE, TIME
 from smelter.sources.events import Field, extract_fields, type_fields
 from smelter.sources.lake import Lake
@@ -45,7 +46,7 @@ def start_fan_out(
         stored = lake.read_batch(spark, RAW_LAYER, table, batch_id, raw.schema)
         typed = type_fields(stored.select(*names), fields)
         if TIME in names:
-            typed = typed.withColumn(DATE, F.to_date(TIME))
+            typed = typed.withColumn(DATE, utc_date(F.col(TIME)))
             lake.write_batch(typed, TYPED_LAYER, table, batch_id, partition_by=[DATE])
         else:
             lake.write_batch(typed, TYPED_LAYER, table, batch_id)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from smelter.functions.timebins import bin_time
+from smelter.functions.timebins import bin_time, utc_date
 from smelter.operators.monitor import DATE, HOURLY_COLUMNS, TIME, Instant, recent_hours
 from smelter.sources.lake import BATCH, Lake
 from smelter.streaming.progress import start
@@ -50,7 +50,7 @@ def _mergeable(events: DataFrame, *group) -> DataFrame:
 def store_partials(events: DataFrame, lake: Lake, batch_id: int) -> None:
     """Store the hourly groups of one micro-batch, replacing an earlier try."""
     groups = _mergeable(events, F.col("customer_id"), bin_time(F.col(TIME)).alias(TIME))
-    lake.write_batch(groups.withColumn(DATE, F.to_date(TIME)), LAYER, PARTIALS, batch_id, partition_by=[DATE])
+    lake.write_batch(groups.withColumn(DATE, utc_date(F.col(TIME))), LAYER, PARTIALS, batch_id, partition_by=[DATE])
 
 
 def start_hourly(stream: DataFrame, lake: Lake, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -78,7 +78,7 @@ def start_hourly_bounded(
     flat = groups.select("customer_id", F.col("w.start").alias(TIME), *_SCHEMA.fieldNames()[2:6])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        lake.write_batch(batch.withColumn(DATE, F.to_date(TIME)), LAYER, BOUNDED, batch_id, partition_by=[DATE])
+        lake.write_batch(batch.withColumn(DATE, utc_date(F.col(TIME))), LAYER, BOUNDED, batch_id, partition_by=[DATE])
 
     return start(flat.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
 

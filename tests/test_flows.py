@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,7 +133,7 @@ def test_missing_column_stops_before_the_write(spark, lake, tmp_path, run):
         ingest(spark, lake, ENTITIES["claims"], paths["claims"], run)
     assert not (tmp_path / "lake").exists()
     # No contract, no check.
-    assert ingest(spark, lake, ENTITIES["claims"], paths["claims"], run, contract=None) == {"record_count": 1}
+    assert ingest(spark, lake, replace(ENTITIES["claims"], raw=None), paths["claims"], run) == {"record_count": 1}
 
 
 def test_descriptions_reach_the_catalog(spark, tmp_path, run):

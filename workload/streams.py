@@ -116,10 +116,13 @@ def high_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {EVENTS_SQL}, sinks AS (SELECT 'bronze' AS sink UNION ALL SELECT 'typed')
-SELECT sink, claim_id, policy_id, customer_id, CAST(claim_amount AS DOUBLE) AS claim_amount, claim_status,
-       event_timestamp
-FROM claim_events, sinks
+WITH {EVENTS_SQL}
+SELECT 'bronze' AS sink, claim_id, policy_id, customer_id, CAST(claim_amount AS DOUBLE) AS claim_amount,
+       claim_status, event_timestamp
+FROM claim_events
+UNION ALL
+SELECT 'typed', claim_id, policy_id, customer_id, CAST(claim_amount AS DOUBLE), claim_status, event_timestamp
+FROM claim_events
 """)
 def dual_sink_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON events fanned out to a raw and a typed table; the rows of both."""
