@@ -129,12 +129,13 @@ def load_contract(spark: SparkSession, path: str, on_missing: str = "error") ->
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing is 'error' or 'skip'")
     try:
-        text = spark.read.text(path, wholetext=True).first()[0]
+        text = (spark.read.text(path, wholetext=True).first() or [""])[0]
     except AnalysisException as exc:
         if on_missing == "skip" and exc.getCondition() == "PATH_NOT_FOUND":
             log.warning("no contract at %s, not checked", path)
             return None
         raise
-    if yaml is not None:
-        return parse_contract(yaml.safe_load(text))
-    return parse_contract(json.loads(text))
+    doc = yaml.safe_load(text) if yaml is not None else json.loads(text)
+    if not isinstance(doc, Mapping):
+        raise ValueError(f"{path} is not a contract")
+    return parse_contract(doc)

@@ -67,6 +67,6 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.flow == "gold":
         GOLD[args.table](spark, lake, run)
     else:
-        realtime.run_realtime(spark, lake, args.events, run, lateness=args.lateness)
+        report = realtime.run_realtime(spark, lake, args.events, run, lateness=args.lateness)
     if report is not None:
         print(json.dumps(report, default=float))

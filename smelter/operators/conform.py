@@ -35,10 +35,10 @@ class Compiled:
         return reduce(Column.__and__, self.checks.values(), F.lit(True))
 
 
-def _value(spec: ColumnSpec, source: T.DataType | None) -> Column:
-    if source is None:
+def _value(spec: ColumnSpec, field: T.StructField | None) -> Column:
+    if field is None:
         return cast_lenient(F.lit(None).cast("string"), spec.type, T.StringType())
-    value = ref(spec.name)
+    value, source = ref(field.name), field.dataType
     if spec.transform:
         value, source = _TRANSFORMS[spec.transform](value), T.StringType()
     return cast_lenient(value, spec.type, source)
@@ -48,13 +48,14 @@ def compile_contract(contract: Contract, schema: T.StructType) -> Compiled:
     """Expressions for a table of this schema; no job runs.
 
     A contract column the table lacks becomes a NULL column of its type if it
-    may be NULL, and is an error if not.
+    may be NULL, and is an error if not.  As in Spark, letter case does not
+    distinguish columns.
     """
-    present = {f.name: f.dataType for f in schema.fields}
-    absent = [c for c in contract.mandatory if c not in present]
+    present = {f.name.lower(): f for f in schema.fields}
+    absent = [c for c in contract.mandatory if c.lower() not in present]
     if absent:
         raise ValueError(f"{contract.table}: mandatory columns are missing: {absent}")
-    columns = {s.name: _value(s, present.get(s.name)) for s in contract.columns}
+    columns = {s.name: _value(s, present.get(s.name.lower())) for s in contract.columns}
     checks = {}
     for spec in contract.columns:
         if not spec.nullable:

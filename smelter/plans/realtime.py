@@ -16,7 +16,7 @@ from smelter.entities import CLAIM_EVENT_FIELDS
 from smelter.streaming.fanout import RAW_LAYER, TABLE, start_fan_out
 from smelter.streaming.hourly import hourly_view
 from smelter.streaming.progress import run_pending
-from smelter.streaming.realtime import start_realtime_silver
+from smelter.streaming.realtime import quality, start_realtime_silver
 
 SILVER = "claims_realtime"
 GOLD, GOLD_DESCRIPTION = "realtime_claims_features", "Hourly claims per customer of the last days"
@@ -46,9 +46,11 @@ def run_realtime(
     run: Run | None = None,
     as_of: Instant = None,
     lateness: str | None = None,
-) -> None:
+) -> dict[str, float]:
     """Take in pending events, bring typed claims up to date, sync gold.
 
+    Returns the quality counts of the typed claims.
+
     Safe to repeat: checkpoints below the lake's root remember what was done.
     Typed claims read the raw table only once its batches are complete, so a
     batch that is played again is never read half replaced.
@@ -64,3 +66,4 @@ def run_realtime(
     )
     run_pending(silver)
     sync_hourly(spark, lake, run, as_of)
+    return quality(silver)

@@ -57,12 +57,14 @@ def extract_fields(events: DataFrame, fields: Sequence[Field], value: str = "val
     def member(document: Column, path: str) -> Column:
         return reduce(lambda node, step: node[step], _steps(path), document)
 
-    parsed = events.withColumn("__document", F.from_json(ref(value), _document_schema(fields, T.StringType())))
+    # Some sources, Kafka among them, give the document as bytes.
+    text = ref(value).cast("string")
+    parsed = events.withColumn("__document", F.from_json(text, _document_schema(fields, T.StringType())))
     columns = {name: member(F.col("__document"), path) for name, path, _ in fields}
     decimals = [f for f in fields if f[2] == "decimal"]
     if decimals:
         amount_type = T.DataType.fromDDL(AMOUNT_TYPE)
-        exact = F.from_json(ref(value), _document_schema(decimals, amount_type))
+        exact = F.from_json(text, _document_schema(decimals, amount_type))
         for name, path, _ in decimals:
             long = F.length(columns[name]) > DOUBLE_DIGITS
             columns[name] = F.when(

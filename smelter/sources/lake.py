@@ -78,8 +78,12 @@ class Lake:
         """Store a micro-batch in a folder of its own.
 
         A batch that is played again after a failure replaces itself, so each
-        event is stored once.
+        event is stored once.  Rows are brought together by partition first, or
+        a backfill would write a file per task and partition; adaptive execution
+        cuts partitions that are too large for one task and merges small ones.
         """
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
         writer.save(self.batch_path(layer, table, batch_id))
 

@@ -3,10 +3,11 @@
 from smelter.streaming.fanout import start_fan_out
 from smelter.streaming.hourly import hourly_view, start_hourly, start_hourly_bounded
 from smelter.streaming.progress import run_pending, rows_dropped_late
-from smelter.streaming.realtime import start_alerts, start_realtime_silver, typed_claims
+from smelter.streaming.realtime import quality, start_alerts, start_realtime_silver, typed_claims
 
 __all__ = [
     "hourly_view",
+    "quality",
     "rows_dropped_late",
     "run_pending",
     "start_alerts",

@@ -15,6 +15,7 @@ from smelter.streaming.progress import start
 
 SPREAD = 16
 _PART = "__part"
+_RECEIVED, _KEPT = "claims_received", "claims_kept"
 
 
 def typed_claims(
@@ -33,8 +34,11 @@ def typed_claims(
     is exact but lets state grow with the number of keys.  A key that arrives
     very often is first reduced in ``spread`` parts, one row per part and key,
     so no single task gets all of it; ``spread=0`` saves that step's state.
+
+    The query's progress carries the counts that ``quality`` reads.
     """
-    valid = conform(events, contract)
+    received = events.observe(_RECEIVED, F.count(F.lit(1)).alias("n"))
+    valid = conform(received, contract)
     if lateness:
         valid = valid.withWatermark(TIME, lateness)
 
@@ -45,7 +49,7 @@ def typed_claims(
     if spread:
         part = F.pmod(F.spark_partition_id(), F.lit(spread))
         valid = first_of(valid.withColumn(_PART, part), key, _PART).drop(_PART)
-    once = first_of(valid, key)
+    once = first_of(valid, key).observe(_KEPT, F.count(F.lit(1)).alias("n"))
     return stamp_current(once.withColumn("processed_timestamp", F.current_timestamp()), since=TIME)
 
 
@@ -65,6 +69,23 @@ def start_realtime_silver(
     return start(writer, checkpoint, every)
 
 
+def quality(query: StreamingQuery) -> dict[str, float]:
+    """Records, cleaned, dropped and pass rate of a query over :func:`typed_claims`.
+
+    They cover the progress Spark keeps, and are for watching: a stage that runs
+    again after a lost executor may count received records twice.
+    """
+    batches = [p.observedMetrics for p in query.recentProgress if p.numInputRows]
+    records = sum(m[_RECEIVED].n for m in batches if _RECEIVED in m)
+    cleaned = sum(m[_KEPT].n for m in batches if _KEPT in m)
+    return {
+        "record_count": records,
+        "cleaned_count": cleaned,
+        "dropped_count": records - cleaned,
+        "pass_rate": cleaned / records * 100 if records else 0.0,
+    }
+
+
 def start_alerts(
     events: DataFrame,
     path: str,

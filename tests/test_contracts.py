@@ -144,6 +144,13 @@ def test_column_names_with_dots(spark):
     assert [tuple(r) for r in conform(df, rules).collect()] == [(1, "x")]
 
 
+def test_letter_case_does_not_hide_a_column(spark):
+    df = spark.createDataFrame([("a", "1", "x")], "Claim_ID string, AMOUNT string, Status string")
+    rules = Contract("t", (ColumnSpec("claim_id", nullable=False), ColumnSpec("amount", "double"),
+                           ColumnSpec("status", transform="upper_trim")))
+    assert conform(df, rules).first().asDict() == {"claim_id": "a", "amount": 1.0, "status": "X"}
+
+
 def test_conform_is_one_projection_and_idempotent(spark):
     df = spark.createDataFrame([(f"c{i}", str(i), "m", "r", "2024-01-01") for i in range(50)],
                                "customer_id string, age string, gender string, location string, join_date string")

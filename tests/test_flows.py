@@ -155,7 +155,8 @@ def test_realtime_run(spark, lake, tmp_path):
     events = tmp_path / "events"
     write_events(events, "1.json", [*event_objects(), "{not json"])
     as_of_ts = dt.datetime(2025, 1, 15, 11, 0, tzinfo=UTC)
-    run_realtime(spark, lake, str(events), as_of=as_of_ts)
+    counts = run_realtime(spark, lake, str(events), as_of=as_of_ts)
+    assert counts == {"record_count": 6, "cleaned_count": 5, "dropped_count": 1, "pass_rate": 5 / 6 * 100}
 
     typed = lake.read(spark, "events", "claims_events")
     assert typed.count() == 6 and typed.where("claim_id is null").count() == 1
@@ -177,7 +178,7 @@ def test_realtime_run(spark, lake, tmp_path):
         "customer_id", "event_timestamp", "claims_count", "total_amount", "avg_amount", "max_amount", "sync_timestamp"}
 
     # Again, with nothing new and then with a known and a new claim.
-    run_realtime(spark, lake, str(events), as_of=as_of_ts)
+    assert run_realtime(spark, lake, str(events), as_of=as_of_ts)["record_count"] == 0
     assert lake.read(spark, "silver", "claims_realtime").count() == 5
     again = dict(zip(EVENT_FIELDS, ("CLM-RT-001", "P", "CUST-001", 1.0, " paid ", "2025-01-15T10:59:59.999Z")))
     fresh = dict(zip(EVENT_FIELDS, ("CLM-RT-006", "P", "CUST-001", 2.0, " paid ", "2025-01-15T11:00:00Z")))

@@ -74,6 +74,8 @@ def test_event_fields(spark):
     assert got == {
         0: ("a", "123456789012345678.12345678", "x"), 1: ("5", "12.50000000", None),
         2: (None, None, None), 3: (None, None, None), 4: (None, None, None)}
+    as_bytes = extract_fields(df.withColumn("value", F.col("value").cast("binary")), fields)
+    assert as_bytes.where("name = 'x'").count() == 1
     for bad in ((("a", "id", "string"),), (("a", "$.x[0]", "string"),), (("a", "$.x", "string"), ("b", "$.x.y", "string"))):
         with pytest.raises(ValueError):
             extract_fields(df, bad)
