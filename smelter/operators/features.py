@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from smelter.functions.casts import ref
 from smelter.functions.scoring import risk_score
 from smelter.operators.history import current_rows
-from smelter.operators.joins import left_join_features
+from smelter.operators.joins import ROWS_PER_PIECE, left_join_features
 from smelter.session import Run
 
 ACTIVE = "ACTIVE"
@@ -63,14 +63,21 @@ def customer_features(customers: DataFrame, per_customer: DataFrame, on: str = "
     return customers.join(per_customer, on, "left").fillna(0, subset=features)
 
 
-def risk_features(policies: DataFrame, claims_per_key: DataFrame, on: str = "customer_id", **score) -> DataFrame:
+def risk_features(
+    policies: DataFrame,
+    claims_per_key: DataFrame,
+    on: str = "customer_id",
+    rows_per_piece: int = ROWS_PER_PIECE,
+    **score,
+) -> DataFrame:
     """Policies with claims features (NULL where none) and ``overall_risk_score``.
 
     ``score`` takes the parameters of :func:`smelter.functions.risk_score`.
     One customer may own many policies, so the join splits frequent keys.
     """
     total = risk_score(F.col("total_claims"), F.col("total_claim_amount"), **score)
-    return left_join_features(policies, claims_per_key, on).withColumn("overall_risk_score", total)
+    joined = left_join_features(policies, claims_per_key, on, rows_per_piece)
+    return joined.withColumn("overall_risk_score", total)
 
 
 def monthly_summary(

@@ -429,6 +429,14 @@ def risk_features_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _risk(spark, sf_dir, claims, "customer_id", per_claim=1, tiers=((2500000, 40), (2000000, 20)))
 
 
+@query(_risk_sql("o_custkey", ((2500000, 40), (2000000, 20)), 1))
+def risk_features_split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with customers cut into pieces as if they were too large for one task."""
+    claims = silver_claims_with_customer(spark, sf_dir)
+    tiers = ((2500000, 40), (2000000, 20))
+    return _risk(spark, sf_dir, claims, "customer_id", rows_per_piece=8, per_claim=1, tiers=tiers)
+
+
 _MONTHLY_SQL = f"""
 WITH {CLAIMS_SQL}
 SELECT CAST(date_trunc('month', claim_date) AS TIMESTAMP) AS claim_year_month,
@@ -522,7 +530,7 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history_output(history.as_of(_line_history(spark, sf_dir), "1998-06-01 00:00:00"))
 
 
-@query("""
+_USERS_SQL = """
 WITH changed AS (
     SELECT user_id, ts, event_type FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts)
@@ -532,11 +540,24 @@ SELECT user_id, event_type, ts AS effective_from,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS effective_to,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL AS is_current
 FROM changed
-""")
+"""
+
+
+@query(_USERS_SQL)
 def scd2_history_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version intervals where single keys have long histories."""
+    return _user_history(spark, sf_dir)
+
+
+@query(_USERS_SQL)
+def scd2_history_split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with users cut into time ranges as if they were too large for one task."""
+    return _user_history(spark, sf_dir, rows_per_piece=30)
+
+
+def _user_history(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp"), "event_type")
-    versions = history.build_history(events, "user_id", "ts")
+    versions = history.build_history(events, "user_id", "ts", **how)
     return versions.select(
         "user_id", "event_type", plain_time("effective_from"), plain_time("effective_to"), "is_current"
     )
