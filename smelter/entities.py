@@ -16,6 +16,8 @@ class Entity:
     raw: Contract | None
     typed: Contract
     description: str
+    # Whether the batch run looks for keys left on several silver rows.
+    audit_keys: bool = False
 
 
 def _raw(table: str, filled: list[str], may_be_null: list[str]) -> Contract:
@@ -47,6 +49,7 @@ POLICIES = Entity(
         ColumnSpec("start_date", "date"),
     ),
     "Typed, validated policies with history columns",
+    audit_keys=True,
 )
 CLAIMS = Entity(
     "claims",

@@ -5,6 +5,8 @@
     spark-submit run.py clean    --lake URI --entity claims
     spark-submit run.py gold     --lake URI --table risk_features
     spark-submit run.py realtime --lake URI --events URI [--lateness "7 days"]
+    spark-submit run.py alerts   --lake URI --out URI    (high-value events of the last hour)
+    spark-submit run.py statuses --lake URI --out URI    (events per status of the last day)
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ import json
 from collections.abc import Sequence
 
 from smelter.entities import ENTITIES, with_contract_files
+from smelter.operators import monitor
 from smelter.plans import batch, realtime
 from smelter.session import Run, build_session
 from smelter.sources.lake import Lake
+from smelter.streaming.fanout import TABLE, TYPED_LAYER
 
 GOLD = {
     "claims_features": batch.build_claims_features,
@@ -24,11 +28,12 @@ GOLD = {
     "risk_features": batch.build_risk_features,
     "monthly_claims_summary": batch.build_monthly_summary,
 }
+QUERIES = {"alerts": monitor.high_value_alerts, "statuses": monitor.status_counts}
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="smelter")
-    parser.add_argument("flow", choices=["batch", "ingest", "clean", "gold", "realtime"])
+    parser.add_argument("flow", choices=["batch", "ingest", "clean", "gold", "realtime", "alerts", "statuses"])
     parser.add_argument("--lake", required=True, help="root folder of the tables")
     parser.add_argument("--format", default="parquet", help="table format Spark knows")
     parser.add_argument("--database", help="catalog database for described tables")
@@ -39,9 +44,11 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--order", default="dedup_first", choices=["dedup_first", "validate_first"])
     parser.add_argument("--table", choices=sorted(GOLD))
     parser.add_argument("--events", help="folder of JSON event files, one event per line")
+    parser.add_argument("--out", help="folder for a query's result, as JSON lines")
     parser.add_argument("--lateness", help="how long to remember claims; for ever if left out")
     args = parser.parse_args(argv)
-    needs = {"ingest": "entity", "clean": "entity", "gold": "table", "realtime": "events"}.get(args.flow)
+    required = {"ingest": "entity", "clean": "entity", "gold": "table", "realtime": "events"}
+    needs = {**required, **dict.fromkeys(QUERIES, "out")}.get(args.flow)
     if needs and not getattr(args, needs):
         parser.error(f"{args.flow} needs --{needs}")
     args.sources = dict(s.split("=", 1) for s in args.source)
@@ -66,6 +73,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         report = batch.clean(spark, lake, entities[args.entity], run, args.order)
     elif args.flow == "gold":
         GOLD[args.table](spark, lake, run)
+    elif args.flow in QUERIES:
+        events = lake.read(spark, TYPED_LAYER, TABLE)
+        QUERIES[args.flow](events).write.mode("overwrite").json(args.out)
     else:
         report = realtime.run_realtime(spark, lake, args.events, run, lateness=args.lateness)
     if report is not None:

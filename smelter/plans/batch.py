@@ -156,6 +156,11 @@ def run_batch(
     def refine(name: str) -> None:
         report[f"bronze_{name}"] = ingest(spark, lake, entities[name], sources[name], run)
         report[f"silver_{name}"] = clean(spark, lake, entities[name], run)
+        if entities[name].audit_keys:
+            repeated = repeated_keys(spark, lake, entities[name]).count()
+            report[f"silver_{name}"]["repeated_keys"] = repeated
+            if repeated:
+                log.warning("%s: %d keys on several rows after cleaning", name, repeated)
 
     def claims_then_risk() -> None:
         build_claims_features(spark, lake, run)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.entities import ENTITIES, POLICIES
+from smelter.operators.features import claims_features, monthly_summary
 from smelter.operators.history import as_of
 from smelter.operators.monitor import high_value_alerts, status_counts
 from smelter.plans.batch import clean, ingest, repeated_keys, run_batch
@@ -36,6 +37,7 @@ def test_batch_run_gives_the_known_results(spark, lake, tmp_path, run):
     assert report["silver_claims"]["cleaned_count"] == 12
     assert report["silver_claims"]["pass_rate"] == 100.0
     assert repeated_keys(spark, lake, POLICIES).count() == 0
+    assert report["silver_policies"]["repeated_keys"] == 0 and "repeated_keys" not in report["silver_claims"]
 
     claims = lake.read(spark, "gold", "claims_features")
     measures = ["total_claims", "total_claim_amount", "avg_claim_amount", "max_claim_amount"]
@@ -127,6 +129,44 @@ def test_validate_first_keeps_the_valid_twin(spark, lake, tmp_path, run):
     assert rows(lake.read(spark, "silver", "policies"), "premium") == [(10.0,)]
 
 
+def test_claims_edges(spark, lake, tmp_path, run):
+    amounts = {"a": "abc", "b": "", "c": "0", "d": "-5", "e": "1e2", "f": "10"}
+    lines = [f"{k},P,{v},2024-01-01,x,y" for k, v in amounts.items()]
+    lines += ["g,P,10,2024-02-30,x,y", ",P,10,2024-01-01,x,y", ",P,11,2024-01-01,x,y", "h,,10,2024-01-01,x,y"]
+    paths = write_tables(tmp_path, {
+        "claims": ["claim_id,policy_id,claim_amount,claim_date,claim_status,claim_type", *lines]})
+    assert ingest(spark, lake, ENTITIES["claims"], paths["claims"], run) == {
+        "record_count": 10, "null_claim_id": 2, "null_policy_id": 1, "null_claim_amount": 1}
+    metrics = clean(spark, lake, ENTITIES["claims"], run)
+    assert (metrics["record_count"], metrics["duplicate_count"], metrics["cleaned_count"]) == (10, 1, 2)
+    got = rows(lake.read(spark, "silver", "claims").orderBy("claim_id"), "claim_id", "claim_amount")
+    assert got == [("e", 100.0), ("f", 10.0)]
+
+
+def test_orc_lake(spark, tmp_path, run):
+    lake = Lake(str(tmp_path / "lake"), fmt="orc")
+    run_batch(spark, lake, write_tables(tmp_path), run)
+    assert lake.read(spark, "gold", "risk_features").where("overall_risk_score = 90").count() == 2
+    write_events(tmp_path / "events", "1.json", event_objects())
+    assert run_realtime(spark, lake, str(tmp_path / "events"))["cleaned_count"] == 5
+    assert lake.read(spark, "silver", "claims_realtime").count() == 5
+
+
+def test_gold_reads_only_what_it_needs(spark, lake, tmp_path, run):
+    run_batch(spark, lake, write_tables(tmp_path), run)
+
+    def scan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    claims = lake.read(spark, "silver", "claims")
+    assert "ReadSchema: struct<claim_id:string,customer_id:string,claim_amount:double>" in scan(claims_features(claims))
+    monthly = scan(monthly_summary(claims))
+    assert "EqualTo(is_current,true)" in monthly
+    assert "ReadSchema: struct<claim_id:string,claim_date:date,claim_amount:double,is_current:boolean>" in monthly
+    for text in (scan(claims_features(claims)), monthly):
+        assert "partial_count" in text and "Python" not in text
+
+
 def test_missing_column_stops_before_the_write(spark, lake, tmp_path, run):
     paths = write_tables(tmp_path, {"claims": ["claim_id,policy_id", "1,2"]})
     with pytest.raises(ValueError, match="claim_amount"):

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -22,10 +23,24 @@ def test_steps_one_by_one(spark, tmp_path, capsys):
     main(["realtime", "--lake", lake, "--events", str(tmp_path / "events"), "--lateness", "1 day"])
     assert spark.read.parquet(f"{lake}/silver/claims_realtime").count() == 5
     assert spark.read.parquet(f"{lake}/gold/realtime_claims_features").count() == 0  # long past
+    for query in ("alerts", "statuses"):
+        main([query, "--lake", lake, "--out", str(tmp_path / query)])
+        assert spark.read.text(str(tmp_path / query)).count() == 0
+
+    fresh = {**event_objects()[1], "claim_id": "new", "event_timestamp": dt.datetime.now(dt.timezone.utc).isoformat()}
+    (tmp_path / "events" / "f.json").write_text(json.dumps(fresh))
+    main(["realtime", "--lake", lake, "--events", str(tmp_path / "events"), "--lateness", "1 day"])
+    main(["alerts", "--lake", lake, "--out", str(tmp_path / "alerts")])
+    main(["statuses", "--lake", lake, "--out", str(tmp_path / "statuses")])
+    assert [json.loads(r.value)["claim_id"] for r in spark.read.text(str(tmp_path / "alerts")).collect()] == ["new"]
+    assert [json.loads(r.value) for r in spark.read.text(str(tmp_path / "statuses")).collect()] == [
+        {"claim_status": "APPROVED", "count_": 1}]
+    assert spark.read.parquet(f"{lake}/gold/realtime_claims_features").count() == 1
 
 
 def test_arguments_are_checked(spark, tmp_path):
-    for argv in (["clean", "--lake", "x"], ["ingest", "--lake", "x", "--entity", "claims"], ["realtime", "--lake", "x"]):
+    for argv in (["clean", "--lake", "x"], ["ingest", "--lake", "x", "--entity", "claims"], ["realtime", "--lake", "x"],
+                 ["alerts", "--lake", "x"]):
         with pytest.raises(SystemExit):
             main(argv)
     with pytest.raises(ValueError, match="entities"):

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from contextlib import contextmanager
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -349,7 +350,16 @@ def test_sizes():
     assert set(ENTITIES) == {"policies", "claims", "customers", "agents"}
 
 
-def test_scratch_is_below_the_shared_folder(spark, monkeypatch):
+def test_a_cluster_needs_a_shared_folder(spark):
+    conf = SimpleNamespace(get=lambda key, default: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(cluster, "x")
+    local = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[2]"))
+    assert "x-" in scratch_dir(local, "x")
+
+
+def test_scratch_is_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second

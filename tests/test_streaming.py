@@ -128,6 +128,10 @@ def test_each_claim_once_over_several_runs(spark, tmp_path, lateness, spread):
     write(src, "3.json", [event(0, 50, 7.0, claim="a"), event(0, 50, 7.0, claim="d")])
     assert run() == [("a", 2.0), ("d", 7.0), ("hot", 5.0)]
     assert run() == [("a", 2.0), ("d", 7.0), ("hot", 5.0)]
+    # Older than all seen, but not by more than the lateness; and by more.
+    write(src, "4.json", [event(0, -600, 3.0, claim="old"), event(0, -4000, 3.0, claim="too old")])
+    kept = {c for c, _ in run()}
+    assert kept == ({"a", "d", "hot", "old"} if lateness else {"a", "d", "hot", "old", "too old"})
     row = spark.read.parquet(out).where("claim_id = 'd'").first()
     assert (row.claim_status, row.is_current, row.effective_to) == ("NEW", True, None)
     assert row.effective_from == row.event_timestamp == (BASE + dt.timedelta(minutes=50)).replace(tzinfo=None)
