@@ -44,6 +44,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--order", default="dedup_first", choices=["dedup_first", "validate_first"])
     parser.add_argument("--table", choices=sorted(GOLD))
     parser.add_argument("--events", help="folder of JSON event files, one event per line")
+    parser.add_argument("--max-files", type=int, help="event files per micro-batch")
     parser.add_argument("--out", help="folder for a query's result, as JSON lines")
     parser.add_argument("--lateness", help="how long to remember claims; for ever if left out")
     args = parser.parse_args(argv)
@@ -77,6 +78,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         events = lake.read(spark, TYPED_LAYER, TABLE)
         QUERIES[args.flow](events).write.mode("overwrite").json(args.out)
     else:
-        report = realtime.run_realtime(spark, lake, args.events, run, lateness=args.lateness)
+        report = realtime.run_realtime(
+            spark, lake, args.events, run, lateness=args.lateness, max_files_per_batch=args.max_files
+        )
     if report is not None:
         print(json.dumps(report, default=float))

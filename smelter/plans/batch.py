@@ -55,6 +55,8 @@ def ingest(
     seen = Observation(f"ingest_{entity.name}")
     lake.append(df.observe(seen, *counters), "bronze", entity.name, partition_by=[PARTITION_COLUMN])
     counts = {k: v or 0 for k, v in seen.get.items()}
+    if not counts.get("record_count"):
+        lake.append_no_rows(df, "bronze", entity.name, PARTITION_COLUMN, run.ts.date())
     for name, nulls in counts.items():
         if name.startswith("null_") and nulls:
             log.warning("%s: %d rows without %s", entity.name, nulls, name.removeprefix("null_"))

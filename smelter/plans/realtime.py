@@ -46,10 +46,12 @@ def run_realtime(
     run: Run | None = None,
     as_of: Instant = None,
     lateness: str | None = None,
+    max_files_per_batch: int | None = None,
 ) -> dict[str, float]:
     """Take in pending events, bring typed claims up to date, sync gold.
 
-    Returns the quality counts of the typed claims.
+    Returns the quality counts of the typed claims.  ``max_files_per_batch``
+    bounds the size of one micro-batch, for instance when a backlog is taken in.
 
     Safe to repeat: checkpoints below the lake's root remember what was done.
     Typed claims read the raw table only once its batches are complete, so a
@@ -57,10 +59,11 @@ def run_realtime(
     """
     run = run or Run()
     checkpoints = lake.path("checkpoints", TABLE)
-    run_pending(start_fan_out(stream_events(spark, events_path), lake, f"{checkpoints}/fan_out"))
-    stored = stream_events(
-        spark, f"{lake.path(RAW_LAYER, TABLE)}/*", fmt=lake.fmt, schema=raw_event_schema()
-    )
+    bound = {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
+    arriving = stream_events(spark, events_path, **bound)
+    run_pending(start_fan_out(arriving, lake, f"{checkpoints}/fan_out"))
+    raw_table = f"{lake.path(RAW_LAYER, TABLE)}/*"
+    stored = stream_events(spark, raw_table, fmt=lake.fmt, schema=raw_event_schema(), **bound)
     silver = start_realtime_silver(
         stored, lake.path("silver", SILVER), f"{checkpoints}/silver", fmt=lake.fmt, lateness=lateness
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 BATCH = "batch_id"
+FILE_FORMATS = ("parquet", "orc")
 
 
 @dataclass(frozen=True)
@@ -58,6 +59,17 @@ class Lake:
         writer = df.write.format(self.fmt).mode("append").option("mergeSchema", True)
         writer.partitionBy(*partition_by).save(self.path(layer, table))
 
+    def append_no_rows(self, df: DataFrame, layer: str, table: str, column: str, value: object) -> None:
+        """Store the columns of ``df``, which has no rows, in partition ``column=value``.
+
+        A partitioned write of no rows leaves no file, and so no table to read.
+        Formats with a log of their own keep the columns anyway.
+        """
+        if self.fmt in FILE_FORMATS:
+            schema = T.StructType([f for f in df.schema.fields if f.name != column])
+            empty = df.sparkSession.createDataFrame([], schema)
+            empty.write.format(self.fmt).mode("append").save(f"{self.path(layer, table)}/{column}={value}")
+
     def overwrite(self, df: DataFrame, layer: str, table: str, description: str = "") -> None:
         """Replace all rows, and describe the table.  ``df`` must not read it."""
         writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", True)

@@ -15,7 +15,7 @@ from smelter.plans.batch import clean, ingest, repeated_keys, run_batch
 from smelter.plans.realtime import run_realtime
 from smelter.session import Run
 from smelter.sources import Lake
-from tests.samples import EVENT_FIELDS, event_objects, write_tables
+from tests.samples import EVENT_FIELDS, TABLES, event_objects, write_tables
 
 UTC = dt.timezone.utc
 
@@ -129,6 +129,21 @@ def test_validate_first_keeps_the_valid_twin(spark, lake, tmp_path, run):
     assert rows(lake.read(spark, "silver", "policies"), "premium") == [(10.0,)]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_a_first_run_without_claims(spark, tmp_path, run, fmt):
+    lake = Lake(str(tmp_path / "lake"), fmt)
+    tables = {name: lines if name != "claims" else lines[:1] for name, lines in TABLES.items()}
+    report = run_batch(spark, lake, write_tables(tmp_path, tables), run)
+    assert report["bronze_claims"]["record_count"] == 0
+    assert report["silver_claims"]["pass_rate"] == 0.0
+    assert lake.read(spark, "gold", "claims_features").count() == 0
+    risk = lake.read(spark, "gold", "risk_features")
+    assert risk.count() == 10 and risk.where("overall_risk_score = 30 and total_claims is null").count() == 10
+    # The next day has some.
+    later = Run(run.ts + dt.timedelta(days=1), "run-2")
+    assert run_batch(spark, lake, write_tables(tmp_path), later)["silver_claims"]["cleaned_count"] == 12
+
+
 def test_claims_edges(spark, lake, tmp_path, run):
     amounts = {"a": "abc", "b": "", "c": "0", "d": "-5", "e": "1e2", "f": "10"}
     lines = [f"{k},P,{v},2024-01-01,x,y" for k, v in amounts.items()]
