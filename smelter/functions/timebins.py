@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 HOUR = dt.timedelta(hours=1)
 
 
@@ -25,12 +26,20 @@ def utc_date(ts: Column) -> Column:
     return F.date_from_unix_date(((seconds - F.pmod(seconds, F.lit(86400))) / 86400).cast("int"))
 
 
+def instant(at: dt.datetime) -> Column:
+    """A point in time as a constant; without a zone it is UTC."""
+    at = at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+    return F.timestamp_micros(F.lit((at - EPOCH) // dt.timedelta(microseconds=1)))
+
+
 def moment(as_of: Column | dt.datetime | str | None) -> Column:
     """A fixed instant as a column, or the query's own start when None."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
+    if isinstance(as_of, dt.datetime):
+        return instant(as_of)
     return F.lit(as_of).cast("timestamp")
 
 

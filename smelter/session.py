@@ -8,7 +8,8 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+
+from smelter.functions.timebins import instant
 
 # Reduce-side partition size to aim for, and the range the count may take.
 TARGET_PARTITION_BYTES = 256 * 1024**2
@@ -100,6 +101,4 @@ class Run:
 
     @property
     def ts_column(self) -> Column:
-        moment = self.ts if self.ts.tzinfo else self.ts.replace(tzinfo=dt.timezone.utc)
-        micros = (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
-        return F.timestamp_micros(F.lit(micros))
+        return instant(self.ts)

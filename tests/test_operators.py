@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.entities import CLAIMS, ENTITIES
-from smelter.functions import bin_time, risk_score
+from smelter.functions import bin_time, moment, risk_score, utc_date
 from smelter.operators import features, history, joins, monitor, quality
 from smelter.operators.dedup import duplicate_keys, latest_per_key
 from smelter.operators.lineage import LINEAGE_COLUMNS, add_lineage
@@ -258,6 +258,17 @@ def test_bins_do_not_depend_on_the_zone(spark):
             assert row[0] == -3600
 
 
+def test_instants_do_not_depend_on_zones(spark):
+    eastern = dt.timezone(dt.timedelta(hours=-5))
+    same = [dt.datetime(2025, 1, 15, 11), dt.datetime(2025, 1, 15, 11, tzinfo=UTC),
+            dt.datetime(2025, 1, 15, 6, tzinfo=eastern)]
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        row = spark.range(1).select(*[F.unix_seconds(moment(t)) for t in same],
+                                    F.unix_seconds(Run(same[0]).ts_column), utc_date(moment(same[0])).cast("string")).first()
+    assert set(row[:4]) == {1736938800} and row[4] == "2025-01-15"
+    assert spark.range(1).select(utc_date(moment(dt.datetime(1969, 12, 31, 23))).cast("string")).first()[0] == "1969-12-31"
+
+
 def test_look_back_is_strict(spark):
     as_of = dt.datetime(2025, 1, 15, 11, tzinfo=UTC)
     df = events(spark, [("a", "60000", "x", "2025-01-15 10:00:00"), ("b", "60000", "X", "2025-01-15 10:00:00.000001"),
