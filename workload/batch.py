@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -686,8 +687,8 @@ def medallion_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "agents": agent_rows(spark, sf_dir),
     }
     sources = {name: lake.path("files", name) for name in raw}
-    for name, df in raw.items():
-        df.write.option("header", True).csv(sources[name])
+    with ThreadPoolExecutor(len(raw)) as pool:
+        list(pool.map(lambda name: raw[name].write.option("header", True).csv(sources[name]), raw))
     run_batch(spark, lake, sources, RUN)
 
     def totals(layer: str, name: str, items, amount) -> DataFrame:
