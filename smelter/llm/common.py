@@ -53,3 +53,18 @@ def with_row_key(docs: DataFrame, prefix: str) -> DataFrame:
     """``docs`` with the two key columns added; the prefix keeps clear of other columns."""
     names = row_of(prefix)
     return docs.withColumns({names[0]: F.col("doc_id"), names[1]: F.xxhash64(whole_text())})
+
+
+def cuts_at_or_below(values: list[Column], cuts: list[tuple[int, ...]]) -> Column:
+    """How many of the sorted ``cuts`` are at most the tuple of long columns: a binary search."""
+    if not cuts:
+        return F.lit(0)
+    parts = [F.expr("array(" + ",".join(f"{x}L" for x in part) + ")") for part in zip(*cuts)]
+    steps = F.expr("array(" + ",".join(str(1 << i) for i in reversed(range(len(cuts).bit_length()))) + ")")
+    row = F.struct(*[v.alias(f"p{i}") for i, v in enumerate(values)])
+
+    def reached(found: Column, step: Column) -> Column:
+        cut = F.struct(*[F.get(part, found + step - 1).alias(f"p{i}") for i, part in enumerate(parts)])
+        return F.when((found + step <= len(cuts)) & (cut <= row), found + step).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), reached)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import simhash
+from smelter.llm import fingerprints, sharding, simhash
 from smelter.llm.common import table
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -15,3 +15,24 @@ def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by SimHash fingerprints."""
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op2_edited_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset fingerprints of every document and of its edited copy."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes."""
+    dealt = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
