@@ -51,9 +51,9 @@ def _equality_lanes(digests: Column) -> Column:
     return F.array(*lanes)
 
 
-def _unit_hashes(paragraph: Column) -> Column:
-    words = F.split(paragraph, " ")
-    return F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda one, two: F.xxhash64(one, two))
+def _unit_hashes(words: str) -> Column:
+    later = F.slice(words, F.lit(2), F.size(words))
+    return F.zip_with(words, later, lambda one, two: F.xxhash64(one, two))
 
 
 def vectors(rows: DataFrame, keys: list[str], body: str) -> DataFrame:
@@ -66,7 +66,8 @@ def vectors(rows: DataFrame, keys: list[str], body: str) -> DataFrame:
     keyed = rows.select(*keys, F.col(body), digests.alias("__digests"))
     keyed = keyed.select(*keys, F.col(body), _equality_lanes(F.col("__digests")).alias("__equal"))
     paragraphs = keyed.select(*keys, "__equal", F.explode(_paragraphs(whole_text(body))).alias("__paragraph"))
-    units = paragraphs.select(*keys, "__equal", F.explode(_unit_hashes(F.col("__paragraph"))).alias("__unit"))
+    worded = paragraphs.select(*keys, "__equal", F.split("__paragraph", " ").alias("__words"))
+    units = worded.select(*keys, "__equal", F.explode(_unit_hashes("__words")).alias("__unit"))
     bits = [
         F.sum(F.shiftrightunsigned("__unit", j).bitwiseAND(_PAIR)).alias(f"__bit{j}") for j in range(LIKE_LANES // 2)
     ]

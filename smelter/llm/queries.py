@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import fingerprints, sharding, simhash
+from smelter.llm import decontaminate, fingerprints, secret_scan, sharding, simhash
 from smelter.llm.common import table
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -36,3 +36,27 @@ def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query(decontaminate.LEAKS_SQL)
+def op10_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, also with other numbers or names."""
+    leaks = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select(
+        F.col("row_id").alias("doc_id"), "item_id", "matched", "item_windows", "coverage", "first_pos", "changed"
+    )
+
+
+@query()
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret, with the forest's verdict; values leave as hashes only."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "at",
+        F.sha2("value", 256).alias("value_sha256"),
+        F.col("length").cast("long").alias("length"),
+        F.lower(F.regexp_extract(F.concat_ws(" ", "name", "before"), "^ ?[A-Za-z_ ]{0,40}$", 0)).alias("context"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("is_secret"),
+    )
