@@ -66,7 +66,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """
     items = benchmark.select("item_id", "text").distinct()
     tokens = _tokens(items, ["item_id"], "text")
-    windows = tokens.select("item_id", "raw", "words", F.posexplode("hashes").alias("item_pos", "hash"))
+    windows = tokens.select("item_id", "raw", "words", F.posexplode_outer("hashes").alias("item_pos", "hash"))
     cut = windows.select(
         "item_id",
         "item_pos",
@@ -75,7 +75,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         F.slice("words", F.col("item_pos") + 1, WINDOW).alias("item_words"),
     )
     literal = F.size(F.filter("item_words", lambda w: (w != "") & ~w.startswith("#")))
-    kept = cut.where(literal >= MIN_WORDS)
+    kept = cut.where(F.col("hash").isNotNull() & (literal >= MIN_WORDS))
     counts = kept.groupBy("item_id").agg(F.count_distinct("item_pos").alias("item_windows"))
     return kept.join(counts, "item_id")
 
@@ -90,9 +90,12 @@ def _slots(item_words: Column, item_raw: Column, doc_raw: Column) -> Column:
 
 def _matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     tokens = _tokens(docs, ["row_id", "row_hash"], "text")
-    placed = tokens.select("row_id", "row_hash", "raw", "words", F.posexplode("hashes").alias("pos", "hash"))
+    # Outer, since for an inner one Spark would compute the whole array once more to drop texts without windows.
+    placed = tokens.select("row_id", "row_hash", "raw", "words", F.posexplode_outer("hashes").alias("pos", "hash"))
     met = placed.join(F.broadcast(windows), "hash")
-    met = met.where(F.slice("words", F.col("pos") + 1, WINDOW) == F.col("item_words"))
+    # Not written as an equality, which would become a part of the join key, computed for every window.
+    doc_words = F.slice("words", F.col("pos") + 1, WINDOW)
+    met = met.where((doc_words <= F.col("item_words")) & (doc_words >= F.col("item_words")))
     doc_raw = F.slice("raw", F.col("pos") + 1, WINDOW)
     return met.select(
         "row_id",

@@ -65,9 +65,9 @@ def vectors(rows: DataFrame, keys: list[str], body: str) -> DataFrame:
     digests = F.transform(_paragraphs(whole_text(body)), lambda p: F.sha2(p, 512))
     keyed = rows.select(*keys, F.col(body), digests.alias("__digests"))
     keyed = keyed.select(*keys, F.col(body), _equality_lanes(F.col("__digests")).alias("__equal"))
-    paragraphs = keyed.select(*keys, "__equal", F.explode(_paragraphs(whole_text(body))).alias("__paragraph"))
+    paragraphs = keyed.select(*keys, "__equal", F.explode_outer(_paragraphs(whole_text(body))).alias("__paragraph"))
     worded = paragraphs.select(*keys, "__equal", F.split("__paragraph", " ").alias("__words"))
-    units = worded.select(*keys, "__equal", F.explode(_unit_hashes("__words")).alias("__unit"))
+    units = worded.select(*keys, "__equal", F.explode_outer(_unit_hashes("__words")).alias("__unit"))
     bits = [
         F.sum(F.shiftrightunsigned("__unit", j).bitwiseAND(_PAIR)).alias(f"__bit{j}") for j in range(LIKE_LANES // 2)
     ]

@@ -71,8 +71,8 @@ def candidates(docs: DataFrame) -> DataFrame:
         )
         return F.when((F.char_length(word) >= MIN_LENGTH) & word.rlike("[0-9]"), found)
 
-    found = words.select("doc_id", F.explode(F.filter(F.transform("words", look), lambda f: f.isNotNull())).alias("f"))
-    flat = found.select("doc_id", "f.*")
+    looked = F.filter(F.transform("words", look), lambda f: f.isNotNull())
+    flat = words.select("doc_id", F.explode_outer(looked).alias("f")).where("f is not null").select("doc_id", "f.*")
     sign = F.col("first").isin("=", ":", ":=", "=>")
     named = flat.select(
         "doc_id",
@@ -89,7 +89,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> list[str]:
     """The most frequent plain words of all documents, ties by the word."""
-    words = docs.select(F.explode(F.split(whole_text(), " ")).alias("word"))
+    words = docs.select(F.explode_outer(F.split(whole_text(), " ")).alias("word"))
     plain = words.where(F.char_length("word").between(4, 20)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     top = plain.where(F.col("word").rlike("^[a-z]+$")).orderBy(F.desc("n"), "word").limit(size)
     return [r["word"] for r in top.collect()]
