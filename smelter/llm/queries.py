@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import decontaminate, fingerprints, secret_scan, sharding, simhash
+from smelter.llm import decontaminate, fingerprints, lines, secret_scan, sharding, simhash, spans
 from smelter.llm.common import table
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -60,3 +60,17 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("is_secret"),
     )
+
+
+@query(spans.REPEATS_SQL)
+def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without sentences that repeat earlier ones."""
+    kept = spans.drop_repeated_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "text", "sentences", "removed_sentences")
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without lines that equal or nearly equal earlier ones."""
+    kept = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "text", "lines", "removed_lines", "line_links")
