@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import decontaminate, fingerprints, lines, secret_scan, sharding, simhash, spans
+from smelter.llm import decontaminate, fingerprints, lines, secret_scan, sharding, simhash, spans, toxicity
 from smelter.llm.common import table
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -74,3 +74,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that equal or nearly equal earlier ones."""
     kept = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "text", "lines", "removed_lines", "line_links")
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of a fifth of the ids are never learnt from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    result = toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return result.select(
+        "doc_id",
+        (toxicity.remainder(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
