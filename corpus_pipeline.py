@@ -1,12 +1,59 @@
-"""A corpus from raw documents, as stages that each write a table the next one reads."""
+"""A training corpus from raw documents, as stages that each write a table the next one reads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from smelter.llm.common import saved, table
+from smelter.llm import decontaminate, lines, pieces, simhash, toxicity
+from smelter.llm.common import saved, table, with_row_key
+from smelter.llm.queries import PIECE_MODEL
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half."""
+    labels = table(spark, sf_dir, "labels")
+    models = toxicity.train(docs.select("doc_id", "text"), labels)
+    return toxicity.scored(docs, models).where("toxicity < 0.5").select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without lines that repeat; n_chars follows the text."""
+    kept = lines.drop_repeated_lines(docs).select(docs.columns)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by SimHash: the one with the smallest doc_id (null only alone)."""
+    groups = simhash.near_duplicate_groups(docs.select("doc_id", "text"))
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    return chosen.dropDuplicates(["doc_id"])
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    leaks = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    keys = leaks.select(F.col("row_id").alias("leak_id"), F.col("row_hash").alias("leak_hash")).distinct()
+    rows = with_row_key(docs, "__row")
+    same = F.col("__row_id").eqNullSafe(F.col("leak_id")) & (F.col("__row_hash") == F.col("leak_hash"))
+    return rows.join(keys, same, "left_anti").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with its next best segmentations."""
+    return pieces.encode_documents(docs, pieces.model_bytes(PIECE_MODEL))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("piece_encoding", encode),
+]
 
 # Learned scores, hashes and piece lattices have no SQL form.
 ORACLE_SQL = None

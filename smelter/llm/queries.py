@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import decontaminate, fingerprints, lines, secret_scan, sharding, simhash, spans, toxicity
+from smelter.llm import (
+    decontaminate,
+    fingerprints,
+    lines,
+    pieces,
+    pii,
+    secret_scan,
+    sharding,
+    simhash,
+    spans,
+    toxicity,
+)
 from smelter.llm.common import table
 from smelter.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 @query()
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,3 +100,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: fixed patterns, and what the field adds."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as pieces, with its four best segmentations and whether it decodes to itself."""
+    model = pieces.model_bytes(PIECE_MODEL)
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), model)
