@@ -21,15 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smelter.llm.common import saved, whole_text
+from smelter.llm.common import whole_text
 
 ORDER = 5
 SHARED = 2  # orders that both classes share
 DISCOUNT = 0.75
 # Labelled documents used at most, the first by hash: for the models, for the curve.
 MODEL_DOCS, CURVE_DOCS = 12_000, 6_000
-# Different words per class used at most, the most frequent first.
-MODEL_WORDS = 300_000
 # Words whose evidence a task keeps at hand.
 CACHE_WORDS = 200_000
 # Windows, in words, whose strongest average counts beside the whole text.
@@ -107,30 +105,27 @@ class Level:
 class Models:
     """The two class models and the curve; small arrays that every task receives."""
 
-    def __init__(self, shared: np.ndarray, words: dict[int, tuple[list[str], np.ndarray]]):
+    def __init__(self, shared: np.ndarray, grams: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]):
+        """``shared``: counts of symbol pairs; ``grams``: per class and order, sorted keys and their counts."""
         single = shared.sum(axis=0) + 0.5
         self.single = single / single.sum()
         first, second = np.nonzero(shared)
         self.pair = Level((first.astype(np.int64) << 8) | second, shared[first, second].astype(np.float64))
-        self.levels = {c: self._levels(*w) for c, w in words.items()}
+        self.levels = {c: self._levels(g) for c, g in grams.items()}
         self.mean, self.scale = np.zeros(len(WINDOWS) + 1), np.ones(len(WINDOWS) + 1)
         self.weights = np.zeros(len(WINDOWS) + 2)
 
     @staticmethod
-    def _levels(words: list[str], counts: np.ndarray) -> dict[int, Level]:
-        joined, starts = _word_symbols(words)
-        owner = np.searchsorted(starts, np.arange(len(joined)), side="left") - 1  # the word a place ends in
+    def _levels(counted: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, Level]:
         found, higher = {}, None
         for order in range(ORDER, SHARED, -1):
-            keys, places = _grams(joined, starts, order)
-            grams, raw = _sums(keys, counts[owner[places]])
-            if higher is not None:  # different left neighbours, but what starts a word has none
+            grams, counts = counted[order]
+            if higher is not None and len(higher):  # different left neighbours, but what starts a word has none
                 tails, kinds = _sums(higher & ((1 << 8 * order) - 1), np.ones(len(higher)))
-                at = np.minimum(np.searchsorted(tails, grams), max(0, len(tails) - 1))
-                known = (tails[at] == grams) if len(tails) else np.zeros(len(grams), bool)
+                at = np.minimum(np.searchsorted(tails, grams), len(tails) - 1)
                 opening = (grams >> 8 * (order - 1)) == _EDGE
-                raw = np.where(opening | ~known, raw, kinds[at] if len(tails) else raw)
-            found[order] = Level(grams, raw)
+                counts = np.where(opening | (tails[at] != grams), counts, kinds[at])
+            found[order] = Level(grams, counts)
             higher = grams
         return found
 
@@ -214,6 +209,25 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[keys])], ["key", "n"])
 
 
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, size, key, n) from counted words, for every order that the classes do not share."""
+    for batch in batches:
+        toxic = batch.column(0).to_numpy(zero_copy_only=False)
+        for c in (0, 1):
+            mine = pa.array(toxic == c)
+            words, counts = batch.column(1).filter(mine).to_pylist(), batch.column(2).filter(mine).to_numpy(zero_copy_only=False)
+            if not words:
+                continue
+            joined, starts = _word_symbols(words)
+            owner = np.searchsorted(starts, np.arange(len(joined)), side="left") - 1  # the word a place ends in
+            for order in range(SHARED + 1, ORDER + 1):
+                keys, places = _grams(joined, starts, order)
+                grams, n = _sums(keys, counts[owner[places]])
+                same = [np.full(len(grams), x, np.int32) for x in (c, order)]
+                columns = [*map(pa.array, same), pa.array(grams), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["toxic", "size", "key", "n"])
+
+
 def remainder(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; 0 is held out of all learning."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5))
@@ -236,13 +250,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Models | None:
     """
     words = _labelled(docs, labels, [1, 2, 3], MODEL_DOCS)
     split = words.select("toxic", F.explode_outer(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
-    counted = saved(split.groupBy("toxic", "word").agg(F.count(F.lit(1)).alias("n")), "toxic-words")
-    found = {}
-    for c in (0, 1):
-        top = counted.where(F.col("toxic") == c).orderBy(F.desc("n"), "word").limit(MODEL_WORDS).toPandas()
-        if top.empty:
-            return None
-        found[c] = (top["word"].tolist(), top["n"].to_numpy(np.float64))
+    counted = split.groupBy("toxic", "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.mapInArrow(_gram_counts, "toxic int, size int, key long, n long")
+    grams = counted.groupBy("toxic", "size", "key").agg(F.sum("n").alias("n")).toPandas().sort_values("key")
+    if grams["toxic"].nunique() < 2:
+        return None
+    found = {
+        c: {
+            size: (part["key"].to_numpy(np.int64), part["n"].to_numpy(np.float64))
+            for size in range(SHARED + 1, ORDER + 1)
+            for part in [grams[(grams["toxic"] == c) & (grams["size"] == size)]]
+        }
+        for c in (0, 1)
+    }
     pairs = docs.select(whole_text().alias("text")).mapInArrow(_pair_counts, "key long, n long")
     sums = pairs.groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     shared = np.zeros(1 << 16)
