@@ -1,0 +1,422 @@
+"""Each text operator against brute force on small tables, with odd rows of every kind."""
+
+import hashlib
+import itertools
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+from smelter.llm import components, decontaminate, fingerprints, lines, pieces, pii, secret_scan, sharding, simhash, spans, toxicity
+from smelter.llm.queries import ORACLES, PIECE_MODEL, QUERIES
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block string, shard string"
+LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(30_000))
+BASE = "The quick brown fox jumps over the lazy dog near the river bank at night. It was never seen again by anyone there."
+ODD = [None, "", " ", "\n\n", "a", LONG, BASE, BASE, BASE.replace("lazy", "tired"), "▁ é 日本 😀", "x" * 5000]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, None, None, None, "b", None) for i, t in enumerate(ODD)]
+    rows += [(6, BASE, "en", None, 3, None, "s"), (None, BASE, None, None, None, None, None), (None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def texts_of(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+# --- shared -------------------------------------------------------------------
+
+
+def test_components(spark):
+    rng = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 150, (110, 2))] + [(i, i + 1) for i in range(200, 240)] + [(5, 5)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = root(a), root(b)
+        parent[max(ra, rb)] = min(ra, rb)
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+    assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# --- 6 ------------------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    grams = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def test_simhash_groups(docs, empty):
+    got = [tuple(r) for r in simhash.near_duplicate_groups(docs).collect()]
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    prints = {t: plain_fingerprint(t) for _, t in texts}
+    assert sorted(f & (2**64 - 1) for _, f, _ in got) == sorted(prints[t] for _, t in texts)
+    assert {c for d, f, c in got if f == 0} == {0} and {c for d, f, c in got if d in (6, 7)} == {6}
+    assert simhash.near_duplicate_groups(empty).count() == 0
+
+
+def test_pigeonring_finds_every_link():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    near = [b ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, replace=False).astype(np.uint64)) for b in base for k in range(1, 7)]
+    f = np.unique(np.concatenate([base, np.array(near, np.uint64)]))
+    for a, b in itertools.combinations(f, 2):
+        viable = any(bool(simhash._linked(a, b, i)) for i in range(5))
+        assert viable == (int(np.bitwise_count(a ^ b)) <= 4)
+
+
+def test_long_runs_give_the_same_groups(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    center = np.uint64(0x0123456789ABCDEF)
+    flips = [np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, 3, replace=False).astype(np.uint64)) for _ in range(300)]
+    f = np.unique(np.array([center ^ x for x in flips], np.uint64))
+    df = spark.createDataFrame([(int(x),) for x in f.view(np.int64)], "fp long")
+    sizes = []
+    for small, block in ((32, 4096), (4, 16)):
+        monkeypatch.setattr(simhash, "SMALL", small)
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        groups = components.connected_components(simhash.linked_fingerprints(df))
+        sizes.append(sorted(r["count"] for r in groups.groupBy("component").count().collect()))
+    left, n = set(range(len(f))), []
+    while left:
+        todo, size = [left.pop()], 1
+        while todo:
+            at = todo.pop()
+            new = [i for i in left if np.bitwise_count(f[i] ^ f[at]) <= 4]
+            left.difference_update(new)
+            todo += new
+            size += len(new)
+        n.append(size)
+    assert sizes[0] == sizes[1] == sorted(x for x in n if x > 1)
+
+
+# --- 2 ------------------------------------------------------------------------
+
+
+def plain_vector(text):
+    v = [0] * 81
+    for p in text.split("\n"):
+        digest = hashlib.sha512(p.encode()).hexdigest()
+        for j in range(16):
+            v[1 + j] = (v[1 + j] + int(digest[8 * j : 8 * j + 8], 16)) % 2**32
+        words = p.split(" ")
+        for a, b in zip(words, words[1:] + [None]):
+            u = xxhash.xxh64_intdigest(a, 42)
+            u = u if b is None else xxhash.xxh64_intdigest(b, u)
+            v[0] += 1
+            for j in range(64):
+                v[17 + j] += u >> j & 1
+    return v
+
+
+def as_hex(v):
+    return "".join(f"{x:08x}" for x in v)
+
+
+def test_edited_fingerprints(spark, docs, empty):
+    got = fingerprints.edited_fingerprints(docs).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    assert len(got) == docs.count()
+    order = sorted(((r.doc_id, r.text or "") for r in docs.where("doc_id is not null").collect()), key=key, reverse=True)
+    by_id = {}
+    for (i, t), (_, following) in zip(order, order[1:]):
+        half = len(t) // 2
+        by_id.setdefault(i, set()).add((len(t), hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest()))
+    for r in got:
+        if r.doc_id in by_id and r.doc_id not in (0, 6, 7):
+            assert (r.n_chars, r.edited_sha256) in by_id[r.doc_id]
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    mine = {r.doc_id: r.fingerprint for r in got}
+    texts = texts_of(docs)
+    assert all(mine[i] == as_hex(plain_vector(texts[i] or "")) for i in (1, 3, 4, 6, 9))
+    assert mine[6] == mine[7] and mine[0] == mine[1]
+    assert fingerprints.edited_fingerprints(empty).count() == 0
+    single = spark.createDataFrame([(3, "abcd")], "doc_id long, text string")
+    row = fingerprints.edited_fingerprints(single).first()
+    assert row.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and row.near_next == 1.0
+
+
+def test_vectors_add_up(spark):
+    rows = spark.createDataFrame([(1, "one two\nthree"), (2, "three\none two"), (3, "one two"), (4, "three")], "k long, t string")
+    v = {r.k: list(r.vector) for r in fingerprints.vectors(rows, ["k"], "t").collect()}
+    assert v[1] == v[2] and v[1] == [(a + b) % 2**32 for a, b in zip(v[3], v[4])]
+    both = spark.createDataFrame([(v[1], v[4])], "a array<long>, b array<long>")
+    from pyspark.sql import functions as F
+
+    less, more = both.select(fingerprints.without(F.col("a"), F.col("b")), fingerprints.combined(F.col("a"), F.col("b"))).first()
+    assert list(less) == v[3] and list(more) == [(a + b) % 2**32 for a, b in zip(v[1], v[4])]
+
+
+# --- 5 ------------------------------------------------------------------------
+
+
+def test_shards(spark, docs, empty):
+    got = sharding.shard_documents(docs).collect()
+    texts = [r.text for r in docs.collect()]
+    assert sorted(r.text_crc32 for r in got) == sorted(zlib.crc32((t or "").encode()) for t in texts)
+    assert sum(r["size"] for r in got) == sum(len((t or "").encode()) + 1 for t in texts)
+    for s in range(16):
+        slots = sorted(r.slot for r in got if r.shard == s)
+        assert slots == list(range(len(slots)))
+    assert sharding.shard_documents(empty).count() == 0
+
+
+def test_equal_rows_are_cut_evenly(spark):
+    rows = spark.range(20_000).selectExpr("1L as doc_id", "'same text' as text").union(
+        spark.range(10_000).selectExpr("id", "concat('text ', id) as text")
+    )
+    sizes = sharding.shard_documents(rows).groupBy("shard").sum("size").collect()
+    total = sum(r[1] for r in sizes)
+    assert len(sizes) == 16 and max(abs(r[1] - total / 16) for r in sizes) < 0.002 * total / 16 + 20
+
+
+# --- 10 -----------------------------------------------------------------------
+
+
+def test_templates(spark, docs, empty):
+    item = "A train leaves Boston at 90 km per hour and meets Anna after 3 hours of riding through green fields in the rain."
+    other = "filler words come first and then a train leaves. A train leaves Berlin at 70 km per hour and meets Olga after 5 hours of riding through green fields in the rain. and after"
+    broken = item.replace("90", "70", 1).replace("Boston", "Anna").replace("meets Anna", "meets Bob")
+    twice = "It costs 5 here and 5 there says the old man who sells fresh bread on the corner every single day"
+    rows = [(1, item), (2, other), (3, broken), (4, twice.replace("5", "8")), (5, twice.replace("5", "8", 1)), (6, "nothing of that kind")]
+    table = spark.createDataFrame([*rows, (1, item), (7, None)], "doc_id long, text string").union(docs.select("doc_id", "text"))
+    bench = spark.createDataFrame([(1, item), (1, item), (2, twice), (3, "too short"), (4, None)], "item_id long, text string")
+    got = {(r.row_id, r.item_id): r for r in decontaminate.contaminated(table, bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2)}
+    assert got[1, 1].changed == 0 and got[2, 1].changed == 4 and got[4, 2].changed == 1
+    assert decontaminate.contaminated(empty, bench).count() == 0
+    assert decontaminate.contaminated(table, bench.limit(0)).count() == 0
+
+
+# --- 1 ------------------------------------------------------------------------
+
+
+def test_secrets(spark, docs, empty):
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(300):
+        h = "".join(rng.choice(list("0123456789abcdef"), 40))
+        kinds = [f'my token = "{h}" here', f"call 4{rng.integers(10**14, 10**15)} now", f"see user.{i}@mail{i}.example.com please", f"commit {h} done"]
+        rows.append((i, kinds[i % 4]))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.scan(table).collect()}
+    assert all((got[i].score >= 0.5) == (i % 4 == 0) for i in range(300))
+    assert secret_scan.scan(empty).count() == 0
+    assert {r.score for r in secret_scan.scan(docs).collect()} <= {0.0, 0.5, 1.0}
+
+
+# --- 8 and 9 ------------------------------------------------------------------
+
+
+def test_spans(spark, docs, empty):
+    passage = "One two three four five six seven. Eight nine ten eleven twelve thirteen fourteen. Ends here with some more words."
+    rows = [(1, "Start of one. " + passage), (2, passage + " Own end of two is fine."), (3, "Nothing. At all."), (4, passage + "\n" + passage)]
+    out = {r.doc_id: r for r in spans.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1].text == rows[0][1] and out[2].text == "Own end of two is fine." and out[3].removed_sentences == 0 and out[4].text == ""
+    kept = spans.drop_repeated_runs(docs)
+    assert kept.columns == [*docs.columns, "sentences", "removed_sentences"] and kept.count() == docs.count()
+    assert kept.where("text is null").count() == 2
+    assert spans.drop_repeated_runs(empty).count() == 0
+    assert all("".join(spans.sentences(t)) == t for t in ODD if t)
+
+
+def test_edit_distance_and_segments():
+    rng = np.random.default_rng(9)
+    letters = list("abcé ")
+    for _ in range(4000):
+        a = "".join(rng.choice(letters, rng.integers(0, 40)))
+        b = list(a)
+        for _ in range(rng.integers(0, 4)):
+            p = int(rng.integers(0, len(b) + 1))
+            if rng.random() < 0.5:
+                b.insert(p, str(rng.choice(letters)))
+            elif b:
+                b.pop(min(p, len(b) - 1))
+        b = "".join(b)
+        near = lines._distance(a, b) <= 2
+        assert lines.within(a, b) == near
+        if near and min(len(a), len(b)) >= lines.MIN_NEAR:
+            a, b = sorted((a, b), key=len)
+            filed = {(s, a[p:q]) for s, p, q, r in lines._cells(len(a)) if r == 0}
+            assert filed & {(s, b[p:q]) for s, p, q, r in lines._cells(len(b)) if r == 1}
+            one, two = lines._sketches([a, b])
+            assert np.bitwise_count(one ^ two) <= 8
+
+
+def test_lines(spark, docs, empty, monkeypatch):
+    line = "this is a rather long line of text that many documents share"
+    rows = [(1, f"head\n{line}\nown one"), (2, f"{line}\n{line}\nshort\nshort"), (3, line.replace("rather", "rathr") + "\nkept line here"), (4, line.replace("long", "xxxx"))]
+    rows += [(10 + i, line + f" number {i:03d}") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    results = []
+    for small, block in ((32, 2048), (4, 16)):
+        monkeypatch.setattr(lines, "SMALL", small)
+        monkeypatch.setattr(lines, "BLOCK", block)
+        results.append({r.doc_id: r for r in lines.drop_repeated_lines(table).collect()})
+    out = results[0]
+    assert out[1].text == rows[0][1] and out[2].text == "short\nshort" and out[3].text == "kept line here" and out[4].text == rows[3][1]
+    assert out[10].text == rows[4][1] and out[11].text == "" and out[11].line_links > 0
+    assert {k: v.text for k, v in out.items()} == {k: v.text for k, v in results[1].items()}
+    kept = lines.drop_repeated_lines(docs)
+    assert kept.columns == [*docs.columns, *lines.COUNTS] and kept.count() == docs.count() and kept.where("text is null").count() == 2
+    assert lines.drop_repeated_lines(empty).count() == 0
+
+
+# --- 7 ------------------------------------------------------------------------
+
+
+def test_toxicity(spark, docs, empty):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abdeilmnorst"), rng.integers(2, 8))) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(600):
+        text = list(rng.choice(words, rng.integers(5, 80)))
+        if i % 5 == 0:
+            text[rng.integers(len(text))] = "gruzzak" + str(rng.choice(["", "en", "os"]))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 5 == 0)))
+    table, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    models = toxicity.train(table, marks)
+    got = {r.doc_id: r.toxicity for r in toxicity.scored(table, models).collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([(got[i] >= 0.5) == (i % 5 == 0) for i in held]) > 0.95
+    odd = toxicity.scored(docs, models)  # its words are strange to these models, so only empty texts have a known side
+    assert odd.count() == docs.count() and odd.where("toxicity between 0 and 1").count() == docs.count()
+    assert odd.where("trim(coalesce(text, '')) = '' and toxicity >= 0.5").count() == 0
+    assert toxicity.train(table, marks.limit(0)) is None and toxicity.train(empty, marks) is None
+    assert toxicity.scored(docs, None).where("toxicity = 0").count() == docs.count()
+
+
+# --- 3 ------------------------------------------------------------------------
+
+PATTERNS = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def plain_spans(text):
+    found = []
+    for k, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text):
+            g, d = m.group(), re.sub("[^0-9]", "", m.group())
+            good = (True, k == 1 and all(int(x) <= 255 for x in g.split(".")), 13 <= len(d) <= 19 and pii.luhn(d), 9 <= len(d) <= 15)[k]
+            if good:
+                found.append((k, m.start(), m.end()))
+    return found
+
+
+def test_base_spans():
+    rng = np.random.default_rng(8)
+    letters = list("0123456789+-.@() ab_%")
+    for _ in range(5000):
+        text = "".join(rng.choice(letters, rng.integers(0, 40)))
+        assert pii.base_spans(text) == plain_spans(text)
+
+
+def test_field_follows_repeats(spark, docs, empty):
+    card = "4465758382889437"
+    rows = [(i, f"word pay {card} now and +1 (743) 555-38{i % 90 + 10} or a{i}@b.example.org from 10.0.0.{i % 250}") for i in range(80)]
+    rows += [(100, f"two cards {card} {card} in a row"), (101, "clean words only 12 of them")]
+    out = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[100].n_card == 0 and out[100].added == 2 and out[100].spans == "card:10:26,card:27:43"
+    assert out[101].spans == "" and out[101].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert pii.find(docs).count() == docs.count() and pii.find(empty).count() == 0
+
+
+# --- 4 ------------------------------------------------------------------------
+
+
+def test_n_best(spark, docs, empty):
+    vocabulary = pieces.Pieces(pieces.model_bytes(PIECE_MODEL))
+
+    def every_path(text):
+        found = []
+
+        def go(place, ids, score):
+            if place == len(text):
+                found.append(score)
+                return
+            for end in range(place + 1, min(len(text), place + vocabulary.longest) + 1):
+                known = vocabulary.scores.get(text[place:end])
+                if known:
+                    go(end, [*ids, known[0]], score + known[1])
+            if text[place] not in vocabulary.scores:
+                go(place + 1, ids, score + vocabulary.spelt)
+
+        go(0, [], 0.0)
+        return sorted(found, reverse=True)
+
+    for text in ("theinon of", "ciónía x", "a\nb", "  two", "日本", "end. Then"):
+        want = every_path(pieces.SPACE + text.replace(" ", pieces.SPACE))[:4]
+        ids, score, others = next(vocabulary.encode([text], 4))
+        assert np.allclose([score, *[o["score"] for o in others]], want)
+        for o in others:
+            changed = ids.tolist()
+            for e in sorted(o["edits"], key=lambda e: -e["at"]):
+                changed[e["at"] : e["at"] + e["gone"]] = e["ids"]
+            assert vocabulary.decode(changed) == text
+    model = pieces.model_bytes(PIECE_MODEL)
+    encoded = pieces.encode_documents(docs, model)
+    assert encoded.where("round_trip").count() == docs.count()
+    decoded = sorted(r.text for r in pieces.decode_documents(encoded, model).collect())
+    assert decoded == sorted(r.text or "" for r in docs.collect())
+    assert pieces.encode_documents(empty, model).count() == 0
+
+
+# --- the queries --------------------------------------------------------------
+
+TABLES = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{TABLES}/{t}.parquet'")
+    want = con.execute(ORACLES[name])
+    names = [d[0] for d in want.description]
+    rows = [tuple(r) for r in QUERIES[name](spark, TABLES).select(*names).collect()]
+    assert sorted(rows, key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_pipeline(spark):
+    documents = spark.read.parquet(f"{TABLES}/documents.parquet")
+    docs, kept = documents, []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.saved(stage(spark, docs, TABLES), "stage")
+        kept.append((docs.columns, docs.count()))
+    assert all(c == documents.columns for c, _ in kept[:-1])
+    counts = [n for _, n in kept]
+    assert documents.count() >= counts[0] == counts[1] >= counts[2] >= counts[3] == counts[4] > 100
+    assert docs.where("round_trip").count() == counts[4]
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, empty):
+    for table in (docs, empty):
+        for _, stage in corpus_pipeline.STAGES[1:]:
+            stage(spark, table, TABLES).collect()
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, TABLES).where("text like 'The quick%lazy%'").count() == 1
