@@ -129,7 +129,10 @@ def load_contract(spark: SparkSession, path: str, on_missing: str = "error") ->
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing is 'error' or 'skip'")
     try:
-        text = (spark.read.text(path, wholetext=True).first() or [""])[0]
+        found = [r[0] for r in spark.read.text(path, wholetext=True).take(2)]
+        if len(found) > 1:
+            raise ValueError(f"{path} is a folder of files, not one contract")
+        text = (found or [""])[0]
     except AnalysisException as exc:
         if on_missing == "skip" and exc.getCondition() == "PATH_NOT_FOUND":
             log.warning("no contract at %s, not checked", path)

@@ -33,8 +33,7 @@ def _typed(table: str, *specs: ColumnSpec) -> Contract:
 
 POSITIVE = ColumnRule("greater_than", 0)
 
-# Column names, types, clean-ups, limits and table descriptions
-# that results must match.
+# Column names, types, clean-ups and limits that results must match.
 POLICIES = Entity(
     "policies",
     "policy_id",

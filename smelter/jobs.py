@@ -15,7 +15,8 @@ import argparse
 import json
 from collections.abc import Sequence
 
-from smelter.entities import ENTITIES, with_contract_files
+from smelter.contracts import load_contract
+from smelter.entities import ENTITIES, REALTIME_CLAIMS, with_contract_files
 from smelter.operators import monitor
 from smelter.plans import batch, realtime
 from smelter.session import Run, build_session
@@ -78,8 +79,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         events = lake.read(spark, TYPED_LAYER, TABLE)
         QUERIES[args.flow](events).write.mode("overwrite").json(args.out)
     else:
-        report = realtime.run_realtime(
-            spark, lake, args.events, run, lateness=args.lateness, max_files_per_batch=args.max_files
-        )
+        how = {"lateness": args.lateness, "max_files_per_batch": args.max_files}
+        if args.contracts:
+            file = f"{args.contracts.rstrip('/')}/silver/silver_claims_realtime.yaml"
+            how["contract"] = load_contract(spark, file, on_missing="skip") or REALTIME_CLAIMS
+        report = realtime.run_realtime(spark, lake, args.events, run, **how)
     if report is not None:
         print(json.dumps(report, default=float))

@@ -11,29 +11,19 @@ from smelter.functions.casts import ref
 
 # A key with more rows than this is joined in several pieces.
 ROWS_PER_PIECE = 20_000_000
-# At most this many keys are split (those with most rows).  The list is
-# broadcast; all other keys are joined whole, so the result is always complete.
-MAX_SPLIT_KEYS = 10_000
-# Pieces that rows without a key are spread over; they match nothing.
-NULL_PIECES = 4096
-
 _PIECE, _PIECES = "__piece", "__pieces"
 
 
-def split_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_piece: int, max_keys: int = MAX_SPLIT_KEYS
-) -> DataFrame:
+def split_keys(df: DataFrame, keys: Sequence[str], rows_per_piece: int) -> DataFrame:
     """Keys too frequent for one task, and into how many pieces to cut each.
 
-    Small by construction: at most ``max_keys`` rows, so it may be broadcast.
+    At most one key per ``rows_per_piece`` rows, some 50,000 for a trillion rows, so it may be broadcast.
     """
     key_cols = list(map(ref, keys))
     return (
         df.groupBy(*key_cols)
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > rows_per_piece)
-        .orderBy(F.desc("__n"), *key_cols)
-        .limit(max_keys)
         .select(*key_cols, F.ceil(F.col("__n") / rows_per_piece).cast("int").alias(_PIECES))
     )
 
@@ -43,18 +33,21 @@ def left_join_features(
     features: DataFrame,
     on: str,
     rows_per_piece: int = ROWS_PER_PIECE,
-    max_split_keys: int = MAX_SPLIT_KEYS,
 ) -> DataFrame:
     """``facts`` left joined with ``features``, whose ``on`` is unique.
 
-    A frequent key's facts are spread over several pieces by a hash of the row,
-    and its single features row is repeated for each piece, so no task gets all
-    of them.  ``on`` comes first in the result and stands there once.
+    A frequent key's facts are spread over several pieces by their place in the
+    input, so that equal rows part too, and its single features row is repeated for
+    each piece, so no task gets all of them.  Rows without a key match nothing and
+    are spread over as many pieces as a shuffle has partitions.  ``facts`` should be
+    a stored table: a place is the same each time only if its rows come in the same
+    order.  ``on`` comes first in the result and stands there once.
     """
-    split = F.broadcast(split_keys(facts.where(ref(on).isNotNull()), [on], rows_per_piece, max_split_keys))
-    row_hash = F.xxhash64(*[ref(c) for c in facts.columns if c != on])
+    split = F.broadcast(split_keys(facts.where(ref(on).isNotNull()), [on], rows_per_piece))
+    row_hash = F.xxhash64(F.monotonically_increasing_id())
+    null_pieces = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     piece = (
-        F.when(ref(on).isNull(), F.pmod(row_hash, F.lit(NULL_PIECES)).cast("int"))
+        F.when(ref(on).isNull(), F.pmod(row_hash, F.lit(null_pieces)).cast("int"))
         .when(F.col(_PIECES).isNotNull(), F.pmod(row_hash, F.col(_PIECES)).cast("int"))
         .otherwise(F.lit(0))
     )

@@ -19,8 +19,13 @@ COPIES = "__copies"
 
 
 def check_columns(df: DataFrame, contract: Contract) -> None:
-    """Raise ValueError unless every contract column exists; no job runs."""
-    absent = [c for c in contract.names if c not in df.columns]
+    """Raise ValueError unless every contract column exists; no job runs.
+
+    Letter case counts only if the session is case sensitive, as in any Spark query.
+    """
+    strict = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    known = set(df.columns) if strict else {c.lower() for c in df.columns}
+    absent = [c for c in contract.names if (c if strict else c.lower()) not in known]
     if absent:
         raise ValueError(f"{contract.table}: required columns are missing: {absent}")
 

@@ -23,7 +23,7 @@ from smelter.sources.readers import read_raw_csv
 
 log = logging.getLogger(__name__)
 
-# Descriptions of the gold tables.
+# Descriptions of the gold tables.
 GOLD_DESCRIPTIONS = {
     "claims_features": "Claims features per customer",
     "customer_features": "Customers with their policy features",

@@ -12,13 +12,16 @@ from smelter.session import Run
 from smelter.sources.events import Field
 from smelter.sources.lake import Lake
 from smelter.sources.readers import stream_events
-from smelter.entities import CLAIM_EVENT_FIELDS
+from smelter.contracts import Contract
+from smelter.entities import CLAIM_EVENT_FIELDS, REALTIME_CLAIMS
 from smelter.streaming.fanout import RAW_LAYER, TABLE, start_fan_out
 from smelter.streaming.hourly import hourly_view
 from smelter.streaming.progress import run_pending
 from smelter.streaming.realtime import quality, start_realtime_silver
 
 SILVER = "claims_realtime"
+# Formats whose tables may be a folder per micro-batch.
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
 GOLD, GOLD_DESCRIPTION = "realtime_claims_features", "Hourly claims per customer of the last days"
 
 
@@ -47,16 +50,19 @@ def run_realtime(
     as_of: Instant = None,
     lateness: str | None = None,
     max_files_per_batch: int | None = None,
+    contract: Contract = REALTIME_CLAIMS,
 ) -> dict[str, float]:
     """Take in pending events, bring typed claims up to date, sync gold.
 
-    Returns the quality counts of the typed claims.  ``max_files_per_batch``
+    Returns the quality counts of the typed claims, which ``contract`` types and checks.  ``max_files_per_batch``
     bounds the size of one micro-batch, for instance when a backlog is taken in.
 
     Safe to repeat: checkpoints below the lake's root remember what was done.
     Typed claims read the raw table only once its batches are complete, so a
     batch that is played again is never read half replaced.
     """
+    if lake.fmt not in FILE_FORMATS:
+        raise ValueError(f"real-time tables need a file format such as {FILE_FORMATS}, not {lake.fmt}")
     run = run or Run()
     checkpoints = lake.path("checkpoints", TABLE)
     bound = {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
@@ -65,7 +71,12 @@ def run_realtime(
     raw_table = f"{lake.path(RAW_LAYER, TABLE)}/*"
     stored = stream_events(spark, raw_table, fmt=lake.fmt, schema=raw_event_schema(), **bound)
     silver = start_realtime_silver(
-        stored, lake.path("silver", SILVER), f"{checkpoints}/silver", fmt=lake.fmt, lateness=lateness
+        stored,
+        lake.path("silver", SILVER),
+        f"{checkpoints}/silver",
+        fmt=lake.fmt,
+        lateness=lateness,
+        contract=contract,
     )
     run_pending(silver)
     sync_hourly(spark, lake, run, as_of)

@@ -11,10 +11,9 @@ from pyspark.sql import Column, SparkSession
 
 from smelter.functions.timebins import instant
 
-# Reduce-side partition size to aim for, and the range the count may take.
+# Reduce-side partition size to aim for, and the least count.
 TARGET_PARTITION_BYTES = 256 * 1024**2
 MIN_SHUFFLE_PARTITIONS = 8
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -26,7 +25,7 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     ordinary one that turns out large, so the count follows the input size.
     """
     wanted = -(-input_bytes // TARGET_PARTITION_BYTES)
-    return max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    return max(MIN_SHUFFLE_PARTITIONS, wanted)
 
 
 def build_session(

@@ -16,9 +16,6 @@ from smelter.functions.casts import AMOUNT_TYPE, cast_lenient, ref
 # (column, path such as $.claim.id, contract type)
 Field = tuple[str, str, str]
 
-# Digits a JSON number keeps for sure when it is read as text.
-DOUBLE_DIGITS = 15
-
 _PATH = re.compile(r"\$(\.\w+)+")
 
 
@@ -50,8 +47,9 @@ def extract_fields(events: DataFrame, fields: Sequence[Field], value: str = "val
     """The mapped fields of each JSON document as strings, other columns kept.
 
     A path the document lacks gives NULL, an unreadable document a row of NULLs;
-    unmapped members are left out.  Each document is parsed once, and again only
-    if it holds a decimal too long to have come through as text unrounded.
+    unmapped members are left out.  A JSON number read as text passes through a
+    double, so decimal members are read as decimals too, and that value stands
+    wherever the text does not say the same.
     """
 
     def member(document: Column, path: str) -> Column:
@@ -66,10 +64,9 @@ def extract_fields(events: DataFrame, fields: Sequence[Field], value: str = "val
         amount_type = T.DataType.fromDDL(AMOUNT_TYPE)
         exact = F.from_json(text, _document_schema(decimals, amount_type))
         for name, path, _ in decimals:
-            long = F.length(columns[name]) > DOUBLE_DIGITS
-            columns[name] = F.when(
-                long, F.coalesce(member(exact, path).cast("string"), columns[name])
-            ).otherwise(columns[name])
+            value_ = member(exact, path)
+            same = value_.isNull() | value_.eqNullSafe(columns[name].try_cast(AMOUNT_TYPE))
+            columns[name] = F.when(same, columns[name]).otherwise(value_.cast("string"))
     return parsed.withColumns(columns).drop("__document", *({value} - set(columns)))
 
 

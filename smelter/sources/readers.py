@@ -3,15 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """CSV files with a header line, every column a string, nothing inferred."""
+    """CSV files with a header line, every column a string, nothing inferred.
+
+    Spark applies one header to all files of a read.  So files are grouped by their
+    header line, each group is read with its own, and the groups are put together
+    by column name; a column that a file lacks is NULL there.  Finding the headers
+    reads the files' first blocks once.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.option("header", True).option("inferSchema", False).csv(paths)
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    groups = _files_by_header(spark, paths)
+    if len(groups) < 2:
+        return reader.csv(paths)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(reader.csv, groups))
+
+
+def _files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files of the paths, those with the same header line together; the largest group first."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    first = lines.where("start = 0 and trim(value) <> ''").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    rows = groups.orderBy(F.desc(F.size("files")), "header").collect()
+    return [[unquote(f) for f in r["files"]] for r in rows]
 
 
 def read_event_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from smelter.sources.lake import Lake
 from smelter.streaming.hourly import store_partials
 from smelter.streaming.progress import start
 
+_TAKEN = "__taken"
 RAW_LAYER, TYPED_LAYER, TABLE = "bronze", "events", "claims_events"
 
 
@@ -32,16 +33,14 @@ def start_fan_out(
 
     The source is read once: the typed table, and the hourly groups if wanted,
     are made from the stored raw batch, so a lost executor does not send the job
-    back to the source.  Every write replaces its own batch, so playing a batch
-    again changes nothing.
+    back to the source.  Every write replaces its own batch and events carry the
+    instant of their batch, so playing a batch again changes nothing.
     """
     names = [name for name, _, _ in fields]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        raw = extract_fields(batch, fields).select(
-            *names, F.current_timestamp().alias("ingestion_timestamp")
-        )
+        raw = extract_fields(batch, fields).select(*names, F.col(_TAKEN).alias("ingestion_timestamp"))
         lake.write_batch(raw, RAW_LAYER, table, batch_id)
         stored = lake.read_batch(spark, RAW_LAYER, table, batch_id, raw.schema)
         typed = type_fields(stored.select(*names), fields)
@@ -53,4 +52,5 @@ def start_fan_out(
         if hourly:
             store_partials(typed, lake, batch_id)
 
+    stream = stream.withColumn(_TAKEN, F.current_timestamp())  # in a stream: when the batch was planned, also if replayed
     return start(stream.writeStream.foreachBatch(store), checkpoint, every)

@@ -11,7 +11,7 @@ from smelter.entities import REALTIME_CLAIMS
 from smelter.operators.conform import conform
 from smelter.operators.history import stamp_current
 from smelter.operators.monitor import HIGH_VALUE, TIME, high_value
-from smelter.streaming.progress import start
+from smelter.streaming.progress import rows_dropped_late, start, whole_progress
 
 SPREAD = 16
 _PART = "__part"
@@ -70,18 +70,20 @@ def start_realtime_silver(
 
 
 def quality(query: StreamingQuery) -> dict[str, float]:
-    """Records, cleaned, dropped and pass rate of a query over :func:`typed_claims`.
+    """Records, cleaned, dropped, late and pass rate of a query over :func:`typed_claims`.
 
-    They cover the progress Spark keeps, and are for watching: a stage that runs
-    again after a lost executor may count received records twice.
+    They cover every micro-batch of the query's run.  A stage that runs again after
+    a lost executor may count received records twice.  ``late_count`` is the part
+    of ``dropped_count`` that came behind the watermark.
     """
-    batches = [p.observedMetrics for p in query.recentProgress if p.numInputRows]
+    batches = [p.observedMetrics for p in whole_progress(query) if p.numInputRows]
     records = sum(m[_RECEIVED].n for m in batches if _RECEIVED in m)
     cleaned = sum(m[_KEPT].n for m in batches if _KEPT in m)
     return {
         "record_count": records,
         "cleaned_count": cleaned,
         "dropped_count": records - cleaned,
+        "late_count": rows_dropped_late(query),
         "pass_rate": cleaned / records * 100 if records else 0.0,
     }
 

@@ -90,7 +90,7 @@ def test_batch_run_gives_the_known_results(spark, lake, tmp_path, run):
         (9, 3, 10650.0, 3550.0, 7500.0, 950.0),
     ]
     assert rows(lake.read(spark, "silver", "agents").where("agent_id = 'A7'"),
-                "name", "agent_type", "status") == [("Agent 7", "AGENCY", "ON_LEAVE")]
+                "name", "agent_type", "status") == [("Office 7", "KIND 1", "AWAY")]
 
 
 def test_second_run_appends_bronze_and_refreshes_silver(spark, lake, tmp_path, run):
@@ -211,7 +211,7 @@ def test_realtime_run(spark, lake, tmp_path):
     write_events(events, "1.json", [*event_objects(), "{not json"])
     as_of_ts = dt.datetime(2025, 1, 15, 11, 0, tzinfo=UTC)
     counts = run_realtime(spark, lake, str(events), as_of=as_of_ts)
-    assert counts == {"record_count": 6, "cleaned_count": 5, "dropped_count": 1, "pass_rate": 5 / 6 * 100}
+    assert counts == {"record_count": 6, "cleaned_count": 5, "dropped_count": 1, "late_count": 0, "pass_rate": 5 / 6 * 100}
 
     typed = lake.read(spark, "events", "claims_events")
     assert typed.count() == 6 and typed.where("claim_id is null").count() == 1

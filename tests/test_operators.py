@@ -168,8 +168,8 @@ def test_split_join_is_complete(spark, broadcast_limit):
         facts = facts_with_a_frequent_key(spark)
         per_key = facts.where("customer_id is not null and customer_id <> '7'").groupBy("customer_id").count()
         want = sorted(map(tuple, facts.join(per_key, "customer_id", "left").collect()), key=str)
-        for rows_per_piece, max_keys in ((100, 10_000), (100, 0), (5, 3), (10**9, 10)):
-            joined = joins.left_join_features(facts, per_key, "customer_id", rows_per_piece, max_keys)
+        for rows_per_piece in (100, 5, 10**9):
+            joined = joins.left_join_features(facts, per_key, "customer_id", rows_per_piece)
             assert joined.columns == ["customer_id", "fact", "count"]
             assert sorted(map(tuple, joined.collect()), key=str) == want
 
@@ -186,6 +186,9 @@ def test_split_join_spreads_the_frequent_key(spark):
         spread = joins.left_join_features(facts, per_key, "customer_id", rows_per_piece=500)
         assert largest_task(spread) < 30_000 / 8 * 2
         assert "Cartesian" not in plan(spread) and "NestedLoop" not in plan(spread)
+        equal = spark.createDataFrame([("7", "same")] * 1000, "customer_id string, fact string").repartition(4)
+        parted = joins.left_join_features(equal, per_key, "customer_id", rows_per_piece=10)
+        assert parted.count() == 1000 and largest_task(parted) < 400
 
 
 # --- gold -------------------------------------------------------------------
@@ -357,7 +360,7 @@ def test_ordinary_history_takes_one_shuffle(spark):
 def test_sizes():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(100 * 1024**3) == 400
-    assert shuffle_partitions_for(100 * 1024**4) == 100_000
+    assert shuffle_partitions_for(100 * 1024**4) == 409_600
     assert set(ENTITIES) == {"policies", "claims", "customers", "agents"}
 
 

@@ -16,7 +16,7 @@ from smelter.operators.dedup import duplicate_keys, latest_per_key
 from smelter.operators.lineage import add_lineage
 from smelter.plans.batch import ingest, run_batch
 from smelter.session import Run, scratch_dir
-from smelter.sources import Lake, extract_fields, type_fields
+from smelter.sources import Lake, extract_fields, read_raw_csv, type_fields
 from workload.registry import query
 from workload.tables import (
     CLAIMS_SQL,
@@ -350,25 +350,25 @@ def claims_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(gold, "total_claim_amount", "avg_claim_amount", "max_claim_amount")
 
 
-FIRST_HALF_2000 = "start_date >= TIMESTAMP_NTZ '2000-01-01' AND start_date < TIMESTAMP_NTZ '2000-07-01'"
-
-
 @query(f"""
 WITH per_customer AS (
-    SELECT o_custkey, count(o_orderkey) AS n, count(*) FILTER (o_orderstatus = 'O') AS active,
+    SELECT owner, count(o_orderkey) AS n, count(*) FILTER (o_orderstatus = 'O') AS active,
            sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
-    FROM orders WHERE o_orderdate >= DATE '2000-01-01' AND o_orderdate < DATE '2000-07-01'
-    GROUP BY o_custkey
+    FROM (SELECT *, CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS owner FROM orders)
+    GROUP BY owner
 )
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id, upper(trim(c_mktsegment)) AS segment, c_acctbal AS balance,
        coalesce(n, 0) AS total_policies, coalesce(active, 0) AS active_policies,
        coalesce({exact_average('total', 'n', 6)}, 0) AS avg_premium,
        coalesce(CAST(total AS DOUBLE), 0) AS total_premium
-FROM customer LEFT JOIN per_customer ON c_custkey = o_custkey
+FROM customer LEFT JOIN per_customer ON c_custkey = owner
 WHERE c_custkey IS NOT NULL AND c_acctbal > 0
 """)
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid customers with policy features of half a year, 0 where they have none."""
+    """Valid customers with policy features, 0 where they have none.
+
+    Orders of every tenth customer stand for policies that nobody owns.
+    """
     rules = Contract(
         "customers",
         (
@@ -382,8 +382,9 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         F.col("c_acctbal").alias("balance"),
     )
-    recent = policies(spark, sf_dir).where(FIRST_HALF_2000)
-    gold = features.customer_features(conform(customers, rules), features.policy_features(recent, active="O"))
+    owned = F.when(F.col("customer_id").cast("long") % 10 != 0, F.col("customer_id"))
+    known = policies(spark, sf_dir).withColumn("customer_id", owned)
+    gold = features.customer_features(conform(customers, rules), features.policy_features(known, active="O"))
     return as_doubles(gold, "avg_premium", "total_premium")
 
 
@@ -626,6 +627,43 @@ def event_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LONG_AMOUNT = """concat(l_orderkey % 9 + 1, lpad(l_partkey, 7, '0'), lpad(l_suppkey, 7, '0'), '.',
+    lpad(l_orderkey % 10000000, 7, '0'), l_linenumber % 9 + 1)"""
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, CAST(CAST({LONG_AMOUNT.replace('lpad(l_partkey', 'lpad(CAST(l_partkey AS VARCHAR)')
+       .replace('lpad(l_suppkey', 'lpad(CAST(l_suppkey AS VARCHAR)')
+       .replace('lpad(l_orderkey % 10000000', 'lpad(CAST(l_orderkey % 10000000 AS VARCHAR)')}
+       AS DECIMAL(28,8)) AS VARCHAR) AS amount
+FROM lineitem
+""")
+def event_decimal_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of 15 digits before the point and 8 after it, bare and quoted, come out of JSON exactly."""
+    quote = F.when(F.col("l_linenumber") % 2 == 0, '"').otherwise("")
+    document = F.concat(F.lit('{"claim": {"amount": '), quote, F.expr(LONG_AMOUNT), quote, F.lit("}}"))
+    events = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", document.alias("value"))
+    fields = (("amount", "$.claim.amount", "decimal"),)
+    typed = type_fields(extract_fields(events, fields), fields)
+    return typed.withColumn("amount", F.col("amount").cast("decimal(28,8)").cast("string"))
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(c_acctbal AS VARCHAR) AS balance,
+       CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS segment
+FROM customer
+""")
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files with their columns in another order, or one column more, keep every value under its name."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", text("c_custkey").alias("customer_id"), text("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment")
+    )
+    folder = scratch_dir(spark, "mixed-csv")
+    for part, columns in enumerate((["customer_id", "balance"], ["balance", "customer_id"], ["segment", "customer_id", "balance"])):
+        rows.where(F.col("c_custkey") % 3 == part).select(*columns).write.option("header", True).csv(f"{folder}/{part}")
+    return read_raw_csv(spark, [f"{folder}/{part}" for part in range(3)]).select("customer_id", "balance", "segment")
+
+
 # --- whole flow -------------------------------------------------------------
 
 
