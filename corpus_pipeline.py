@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import decontaminate, lines, pieces, simhash, toxicity
-from smelter.llm.common import saved, table, with_row_key
+from smelter.llm import decontaminate, lines, pieces, similar, toxicity
+from smelter.llm.common import saved, table, whole_text, with_row_key
 from smelter.llm.queries import PIECE_MODEL
 
 
@@ -26,11 +26,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by SimHash: the one with the smallest doc_id (null only alone)."""
-    groups = simhash.near_duplicate_groups(docs.select("doc_id", "text"))
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return chosen.dropDuplicates(["doc_id"])
+    """One row of each group of near copies: the one with the smallest doc_id (null last), then text hash.
+
+    Groups come from SimHash links and bands, checked exactly at 0.8 of five-word shingles.
+    """
+    groups = similar.similar_groups(docs.select("doc_id", "text"))
+    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "node")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "node", row.alias("__row"))
+    kept = groups.groupBy("component").agg(F.min(rank).alias("least")).select("least.__row")
+    node = similar.node_of(whole_text())
+    rows = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), node))
+    return rows.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

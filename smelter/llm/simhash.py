@@ -44,24 +44,33 @@ for _l in range(len(SEGMENTS)):
 _QUOTA = [(l + 1) * LIMIT // len(SEGMENTS) for l in range(len(SEGMENTS))]
 
 
-def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
-    """Unsigned SimHash of UTF-8 text; 0 without words."""
+def shingle_hashes(data: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles of UTF-8 text, repeats included; of the whole sequence if it has fewer words."""
     words = data.lower().split()  # bytes: only A-Z change, and only ASCII white space separates
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([digest(joined, SEED)], dtype=np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The unsigned SimHash of shingle hashes; 0 without any."""
     counts = np.bincount((hashes.view(np.uint8).reshape(-1, 8) + _BYTE).ravel(), minlength=2048).reshape(8, 256)
     bits = 2 * (counts @ _BITS) > len(hashes)
     return int(np.packbits(bits.reshape(64), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
+    """Unsigned SimHash of UTF-8 text; 0 without words."""
+    return folded(shingle_hashes(data, shingle))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from smelter.llm import components, decontaminate, fingerprints, lines, pieces, pii, secret_scan, sharding, simhash, spans, toxicity
+from smelter.llm import components, decontaminate, fingerprints, lines, pieces, pii, secret_scan, sharding, simhash, similar, spans, toxicity
 from smelter.llm.queries import ORACLES, PIECE_MODEL, QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block string, shard string"
@@ -403,6 +403,76 @@ def test_query_equals_sql(spark, name):
     assert sorted(rows, key=str) == sorted(want.fetchall(), key=str)
 
 
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def plain_components(sets, similarity):
+    """Components of all pairs that share enough shingles, as a set of sets of places."""
+    holders, parent = {}, list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, mine in enumerate(sets):
+        shared = {}
+        for shingle in mine or [None]:
+            for j in holders.setdefault(shingle, []):
+                shared[j] = shared.get(j, 0) + 1
+            holders[shingle].append(i)
+        for j, both in shared.items():
+            if both >= similarity * (len(mine or [0]) + len(sets[j] or [0]) - both):
+                parent[root(i)] = root(j)
+    groups = {}
+    for i in range(len(sets)):
+        groups.setdefault(root(i), set()).add(i)
+    return {frozenset(g) for g in groups.values()}
+
+
+def found_components(rows, place):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.component, set()).add(place[r.doc_id])
+    return {frozenset(g) for g in groups.values()}
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_similar_groups_of_the_table(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(similar, "BROADCAST_IDS", broadcast)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = table.collect()
+    place = {r.doc_id: i for i, r in enumerate(rows)}
+    got = found_components(similar.similar_groups(table).collect(), place)
+    assert got == plain_components([shingle_set(r.text) for r in rows], 0.8)
+
+
+def test_similar_groups_of_one_large_family(spark):
+    draw = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(150)]
+    family = []
+    for i in range(600):
+        text = list(words)
+        for at in draw.choice(150, int(draw.integers(0, 4)), replace=False):
+            text[at] = f"new{draw.integers(10**6)}"
+        family.append(" ".join(text))
+    texts = family + [" ".join(f"x{draw.integers(10**6)}" for _ in range(40)) for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = found_components(similar.similar_groups(df).collect(), {i: i for i in range(len(texts))})
+    assert got == plain_components([shingle_set(t) for t in texts], 0.8)
+
+
+def test_similar_groups_of_odd_rows(docs, empty):
+    rows = similar.similar_groups(docs).collect()
+    assert len(rows) == docs.count()
+    at = {r.doc_id: r.component for r in rows if r.doc_id is not None}
+    assert at[0] == at[1] == at[2] == at[3] and sum(r.component == at[0] for r in rows) == 5
+    assert at[6] == at[7] and len({at[i] for i in (0, 4, 5, 6, 9, 10)}) == 6
+    assert similar.similar_groups(empty).count() == 0
+
+
 def test_pipeline(spark):
     documents = spark.read.parquet(f"{TABLES}/documents.parquet")
     docs, kept = documents, []
