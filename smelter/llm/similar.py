@@ -26,6 +26,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 # Ids of candidates sent to all tasks, at most; beyond that the texts are joined.
 BROADCAST_IDS = 500_000
+# Keys of up to SMALL texts list their pairs; others are cut into blocks of so many texts and
+# bytes, at most, and every two blocks meet in a task of their own.
+SMALL = 32
+BLOCK, BLOCK_BYTES = 2048, 16 << 20
 
 _DRAWN = np.random.default_rng(42).integers(0, 2**64, (2, BANDS * ROWS), dtype=np.uint64)
 _FLIP, _TIMES = _DRAWN[0], _DRAWN[1] | np.uint64(1)
@@ -65,15 +69,19 @@ def node_of(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _shared_keys(members: DataFrame) -> DataFrame:
+    """The rows of ``members`` (key, node) whose key has more than one."""
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return members.join(counts, "key")
+
+
 def _band_pairs(nodes: DataFrame) -> DataFrame:
     """(node, leader, shared): every member of a band's key with two members of it.
 
     One of the two is drawn for each key; the other is the one that meets most others
     in all its bands, which in a family of copies is the text they were made from.
     """
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    crowded = saved(keys.join(counts, "key"), "crowded-bands")
+    crowded = saved(_shared_keys(nodes.select("node", F.explode("bands").alias("key"))), "crowded-bands")
     weight = crowded.groupBy("node").agg(F.sum("members").alias("weight"))
     rank = F.col("weight") * (1 << 20) + F.pmod(F.xxhash64("node"), F.lit(1 << 20))
     leaders = crowded.join(weight, "node").groupBy("key").agg(
@@ -116,6 +124,96 @@ def _checked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return sides.select("u", "v", "one", "two").mapInArrow(lambda b: _alike(b, similarity), "u long, v long")
 
 
+def _shared_counts(ones: list[np.ndarray], twos: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``ones`` shares with each of ``twos``; sets are arrays without repeats."""
+    sizes = [len(x) for x in (*ones, *twos)]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, times = np.unique(np.concatenate([*ones, *twos]), return_inverse=True, return_counts=True)
+    row, column = row[times[column] > 1], column[times[column] > 1]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    counts = np.zeros((len(ones), len(twos)), np.float32)
+    width = 4096
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (begin, begin + width))
+        holds = np.zeros((len(sizes), width), np.float32)
+        holds[row[a:b], column[a:b] - begin] = 1
+        counts += holds[: len(ones)] @ holds[len(ones) :].T
+    return counts
+
+
+def _spanning(linked: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges of a forest that joins what a symmetric matrix links."""
+    left, right, rest = [], [], np.arange(len(linked))
+    while len(rest):
+        todo, rest = [rest[0]], rest[1:]
+        while todo and len(rest):
+            at = todo.pop()
+            near = linked[at, rest]
+            left.extend([at] * int(near.sum()))
+            right.extend(rest[near].tolist())
+            todo.extend(rest[near].tolist())
+            rest = rest[~near]
+    return left, right
+
+
+def _block_pair(similarity: float):
+    def compare(_key, group):
+        """Checked edges between the texts of two blocks of one key, or inside one block."""
+        import pandas as pd
+
+        group = group.sort_values("block", kind="stable")
+        sets = [np.unique(shingle_hashes(bytes(t), SHINGLE)) for t in group["text"]]
+        sizes, at = np.array([len(x) for x in sets]), group["at"].to_numpy()
+        n, cut = len(sets), int((group["block"] == group["block"].iloc[0]).sum())
+        begin = 0 if cut == n else cut
+        both = _shared_counts(sets[:cut], sets[begin:])
+        alike = both + 1e-9 >= similarity * (sizes[:cut, None] + sizes[None, begin:] - both.astype(np.float64))
+        linked = np.zeros((n, n), bool)
+        linked[:cut, begin:] = alike & (at[:cut, None] != at[None, begin:])
+        left, right = _spanning(linked | linked.T)
+        node = group["node"].to_numpy()
+        return pd.DataFrame({"u": node[left].astype(np.int64), "v": node[right].astype(np.int64)})
+
+    return compare
+
+
+def _apart_links(members: DataFrame, groups: DataFrame, done: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Checked edges between the texts of every key of ``members`` (key, node) that ``groups`` leaves apart.
+
+    Pairs of ``done`` (node, leader) are not checked again where pairs are listed.
+    """
+    place = groups.select("node", F.col("component").alias("at"))
+    placed = members.join(place, "node", "left").select("key", "node", F.coalesce("at", "node").alias("at"))
+    sizes = texts.select("node", F.octet_length("text").alias("bytes"))
+    placed = saved(placed.join(sizes, "node"), "key-members")
+    counts = placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.min("at").alias("low"), F.max("at").alias("high")
+    )
+    # Two members are a leader and the other one, so already checked.
+    still = counts.where("low < high and n > 2").select("key", "n", F.col("bytes").alias("total"))
+    open_rows = saved(placed.drop("bytes").join(still, "key"), "open-keys")
+
+    few = open_rows.where(F.col("n") <= SMALL)
+    other = few.select("key", F.col("node").alias("v"), F.col("at").alias("v_at"))
+    listed = few.join(other, "key").where("node < v and at <> v_at").select(F.col("node").alias("u"), "v").distinct()
+    known = done.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v"))
+    pairs = listed.join(known, ["u", "v"], "left_anti").select(F.col("u").alias("node"), F.col("v").alias("leader"))
+    links = _checked(pairs, texts, similarity)
+
+    many = open_rows.where(F.col("n") > SMALL)
+    if many.isEmpty():
+        return links
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_BYTES)).cast("int")
+    dealt = many.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int"))
+    meetings = dealt.select("key", "node", "at", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    grouped = meetings.join(texts.select("node", F.col("text").cast("binary").alias("text")), "node").groupBy(
+        "key", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two")
+    )
+    return links.union(grouped.applyInPandas(_block_pair(similarity), "u long, v long"))
+
+
 def similar_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, node, component) for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -126,7 +224,7 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     The candidates that share most are checked first; of the others only those whose
     ends are still apart, so a large group costs a few checks per text and not one
-    per pair.
+    per pair.  Then all other pairs of a key whose ends are apart are checked too.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = rows.select("doc_id", node_of(F.col("text")).alias("node"), "text")
@@ -148,6 +246,10 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         best, ["node", "leader"], "left_anti"
     )
     more = saved(_checked(apart, texts, similarity), "similar-links")
-    groups = connected_components(links.union(more))
+    links = links.union(more)
+    groups = saved(connected_components(links), "leader-groups")
+    members = nodes.select("node", F.explode("bands").alias("key"))
+    rest = saved(_apart_links(_shared_keys(members), groups, pairs, texts, similarity), "similar-links")
+    groups = connected_components(links.union(rest))
     named = marked.select("doc_id", "node").join(groups, "node", "left")
     return named.select("doc_id", "node", F.coalesce("component", "node").alias("component"))

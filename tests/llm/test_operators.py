@@ -464,6 +464,21 @@ def test_similar_groups_of_one_large_family(spark):
     assert got == plain_components([shingle_set(t) for t in texts], 0.8)
 
 
+@pytest.mark.parametrize("small, block", [(32, 2048), (2, 40)])
+def test_similar_pairs_in_a_family_below_the_threshold(spark, monkeypatch, small, block):
+    monkeypatch.setattr(similar, "SMALL", small)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    base = [f"w{i}" for i in range(404)]
+    own = [[f"own{i}x{k}" for k in range(60)] for i in range(200)]
+    for i in range(0, 120, 2):
+        own[i + 1][:16] = own[i][:16]
+    texts = [" ".join(base + tail) for tail in own]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = found_components(similar.similar_groups(df).collect(), {i: i for i in range(len(texts))})
+    want = plain_components([shingle_set(t) for t in texts], 0.8)
+    assert len(want) == 140 and got == want
+
+
 def test_similar_groups_of_odd_rows(docs, empty):
     rows = similar.similar_groups(docs).collect()
     assert len(rows) == docs.count()
