@@ -132,6 +132,26 @@ def _forest(f: np.ndarray, start: int | None) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
+def _every(f: np.ndarray, start: int | None, mask: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All linked pairs among ``f``, some at a time; those of a run of which the bit ``mask`` is free.
+
+    Fingerprints whose second segment agrees meet under every mask of it; only the
+    run of the first mask gives their pair.
+    """
+    offset, width = SEGMENTS[((start or 0) + 1) % len(SEGMENTS)]
+    tail = np.uint64(((1 << width) - 1) << offset)
+    for at in range(len(f) - 1):
+        rest = f[at + 1 :]
+        if start is None:
+            near = np.bitwise_count(rest ^ f[at]) <= LIMIT
+        else:
+            near = _linked(rest, f[at], start)
+            if mask:
+                near &= ((rest ^ f[at]) & tail) != 0
+        if near.any():
+            yield np.full(int(near.sum()), f[at], dtype=np.uint64), rest[near]
+
+
 def _edges(a: np.ndarray, b: np.ndarray, block: np.ndarray | int) -> pa.RecordBatch:
     blocks = np.full(len(a), block, dtype=np.int32) if np.isscalar(block) else block.astype(np.int32)
     return pa.RecordBatch.from_arrays(
@@ -139,7 +159,7 @@ def _edges(a: np.ndarray, b: np.ndarray, block: np.ndarray | int) -> pa.RecordBa
     )
 
 
-def _in_runs(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _in_runs(key: np.ndarray, fp: np.ndarray, every: bool) -> Iterator[pa.RecordBatch]:
     """Edges inside whole runs of equal keys, sorted by key."""
     begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     lengths = np.diff(np.concatenate((begins, [len(key)])))
@@ -154,12 +174,13 @@ def _in_runs(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         if keep.any():
             yield _edges(a[keep], b[keep], -1)
     for begin, length in zip(begins[lengths > SMALL].tolist(), lengths[lengths > SMALL].tolist()):
-        a, b = _forest(np.unique(fp[begin : begin + length]), int(key[begin] >> 40))
-        if len(a):
-            yield _edges(a, b, -1)
+        run, start, mask = np.unique(fp[begin : begin + length]), int(key[begin] >> 40), int(key[begin] >> 32 & 0xFF)
+        for a, b in _every(run, start, mask) if every else [_forest(run, start)]:
+            if len(a):
+                yield _edges(a, b, -1)
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match(batches: Iterator[pa.RecordBatch], every: bool) -> Iterator[pa.RecordBatch]:
     """Edges (block -1), and (key, fp, block) rows of runs too long for one task's memory."""
     held_k, held_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     long_key, long_rows = None, 0
@@ -177,33 +198,39 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             long_key = None
         cut = int(np.searchsorted(k, k[-1])) if len(k) else 0
         if cut:
-            yield from _in_runs(k[:cut], f[:cut])
+            yield from _in_runs(k[:cut], f[:cut], every)
         held_k, held_f = k[cut:], f[cut:]
         if len(held_k) > BLOCK:
             long_key, long_rows = held_k[0], len(held_k)
             yield _edges(held_k.view(np.uint64), held_f, np.arange(long_rows) // BLOCK)
             held_k, held_f = held_k[:0], held_f[:0]
     if len(held_k):
-        yield from _in_runs(held_k, held_f)
+        yield from _in_runs(held_k, held_f, every)
+
 
+def _block_pair(every: bool):
+    def compare(_key, group):
+        """Edges among the fingerprints of two blocks of one key."""
+        import pandas as pd
 
-def _block_pair(_key, group):
-    """Edges among the fingerprints of two blocks of one key."""
-    import pandas as pd
+        both = np.unique(group["fp"].to_numpy().view(np.uint64))
+        found = list(_every(both, None)) if every else [_forest(both, None)]
+        a, b = [np.concatenate([np.zeros(0, np.uint64), *side]) for side in zip(*found)] or [np.zeros(0, np.uint64)] * 2
+        return pd.DataFrame({"u": a.view(np.int64), "v": b.view(np.int64)})
 
-    a, b = _forest(np.unique(group["fp"].to_numpy().view(np.uint64)), None)
-    return pd.DataFrame({"u": a.view(np.int64), "v": b.view(np.int64)})
+    return compare
 
 
-def linked_fingerprints(distinct: DataFrame) -> DataFrame:
+def linked_fingerprints(distinct: DataFrame, every: bool = False) -> DataFrame:
     """Edges (u, v) whose components are those of all pairs that differ in at most ``LIMIT`` bits.
 
-    ``distinct`` has one long column ``fp`` without repeats.
+    ``distinct`` has one long column ``fp`` without repeats.  With ``every`` the edges
+    are all those pairs, in either order and some of them repeated.
     """
     spark = distinct.sparkSession
     keys = distinct.mapInArrow(_chain_keys, "key long, fp long")
     dealt = keys.repartition(partitions(spark), "key").sortWithinPartitions("key")
-    found = saved(dealt.mapInArrow(_match, "u long, v long, block int"), "links")
+    found = saved(dealt.mapInArrow(lambda b: _match(b, every), "u long, v long, block int"), "links")
     edges = found.where("block < 0").select("u", "v")
     rows = found.where("block >= 0").select(F.col("u").alias("key"), F.col("v").alias("fp"), "block")
     if rows.isEmpty():
@@ -213,7 +240,7 @@ def linked_fingerprints(distinct: DataFrame) -> DataFrame:
         "key", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("with")
     )
     grouped = meetings.groupBy("key", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
-    return edges.union(grouped.applyInPandas(_block_pair, "u long, v long"))
+    return edges.union(grouped.applyInPandas(_block_pair(every), "u long, v long"))
 
 
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:

@@ -92,14 +92,25 @@ def _band_pairs(nodes: DataFrame) -> DataFrame:
     return met.groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
-    """(node, leader, shared): texts of one fingerprint, and of fingerprints that SimHash links."""
+def _fingerprint_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, leader, shared): texts of one fingerprint, and of fingerprints that SimHash links.
+
+    With it (key, node): the texts of every fingerprint and of every link that have
+    more texts than these pairs compare.
+    """
     first = saved(nodes.groupBy("fp").agg(F.min("node").alias("leader")), "fingerprint-leaders")
     same = nodes.select("fp", "node").join(first, "fp").where("node <> leader").select("node", "leader")
-    links = linked_fingerprints(first.select("fp"))
+    links = saved(linked_fingerprints(first.select("fp"), every=True).where("u <> v").distinct(), "fingerprint-links")
     ends = links.join(first.select(F.col("fp").alias("u"), F.col("leader").alias("node")), "u")
     ends = ends.join(first.select(F.col("fp").alias("v"), "leader"), "v").select("node", "leader")
-    return same.union(ends).withColumn("shared", F.lit(1).cast("long"))
+    pairs = same.union(ends).withColumn("shared", F.lit(1).cast("long"))
+
+    texts = nodes.groupBy("fp").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("fp")
+    alike = nodes.select("fp", "node").join(texts, "fp").select(F.xxhash64(F.lit("one"), "fp").alias("key"), "node")
+    sides = links.select(F.explode(F.array("u", "v")).alias("fp"), F.xxhash64(F.lit("two"), "u", "v").alias("key"))
+    wide = sides.join(texts, "fp").select("key").distinct()
+    linked = sides.join(wide, "key").join(nodes.select("fp", "node"), "fp").select("key", "node")
+    return pairs, alike.union(linked)
 
 
 def _alike(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -230,7 +241,8 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     rows = rows.select("doc_id", node_of(F.col("text")).alias("node"), "text")
     marked = saved(rows.mapInArrow(_sketches, "doc_id long, node long, fp long, bands array<bigint>"), "sketches")
     nodes = saved(marked.select("node", "fp", "bands").dropDuplicates(["node"]), "sketch-nodes")
-    pairs = _band_pairs(nodes).union(_fingerprint_pairs(nodes))
+    linked, linked_keys = _fingerprint_pairs(nodes)
+    pairs = _band_pairs(nodes).union(linked)
     pairs = saved(pairs.groupBy("node", "leader").agg(F.sum("shared").alias("shared")), "similar-candidates")
     ids = saved(pairs.select("node").union(pairs.select("leader")).distinct(), "similar-ids")
     few = ids.count() <= BROADCAST_IDS
@@ -248,8 +260,8 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     more = saved(_checked(apart, texts, similarity), "similar-links")
     links = links.union(more)
     groups = saved(connected_components(links), "leader-groups")
-    members = nodes.select("node", F.explode("bands").alias("key"))
-    rest = saved(_apart_links(_shared_keys(members), groups, pairs, texts, similarity), "similar-links")
+    members = _shared_keys(nodes.select(F.explode("bands").alias("key"), "node")).select("key", "node").union(linked_keys)
+    rest = saved(_apart_links(members, groups, pairs, texts, similarity), "similar-links")
     groups = connected_components(links.union(rest))
     named = marked.select("doc_id", "node").join(groups, "node", "left")
     return named.select("doc_id", "node", F.coalesce("component", "node").alias("component"))

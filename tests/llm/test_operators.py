@@ -111,6 +111,28 @@ def test_long_runs_give_the_same_groups(spark, monkeypatch):
     assert sizes[0] == sizes[1] == sorted(x for x in n if x > 1)
 
 
+@pytest.mark.parametrize("small, block", [(32, 4096), (4, 16)])
+def test_every_link_is_a_candidate(spark, monkeypatch, small, block):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    flips = [np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, 2, replace=False).astype(np.uint64)) for _ in range(80)]
+    f = np.unique(np.array([np.uint64(0x0123456789ABCDEF) ^ x for x in flips], np.uint64))
+    # Every tenth fingerprint belongs to three texts; bands do not matter here.
+    nodes = [(10 * i + k, int(x)) for i, x in enumerate(f.view(np.int64)) for k in range(3 if i % 10 == 0 else 1)]
+    df = spark.createDataFrame(nodes, "node long, fp long")
+    pairs, keys = similar._fingerprint_pairs(df)
+    got = {frozenset((r.node, r.leader)) for r in pairs.collect()}
+    members = {}
+    for r in keys.collect():
+        members.setdefault(r.key, set()).add(r.node)
+    for group in members.values():
+        got.update(frozenset(p) for p in itertools.combinations(group, 2))
+    near = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1") <= 4
+    want = {frozenset((m, n)) for (m, a), (n, b) in itertools.combinations(nodes, 2) if near(a, b)}
+    assert got == want
+
+
 # --- 2 ------------------------------------------------------------------------
 
 
