@@ -1,7 +1,7 @@
 """Secret scans: candidates from text, and a random forest that removes false positives.
 
-A candidate is a run of at least 16 letters, digits and ``_+/=.@-`` that holds a
-digit.  Its features are its length, how its characters change class from one to
+A candidate is a run of letters, digits and ``_+/=.@-``: every one of at least 16 that
+holds a digit, and any that is assigned to a credential's name.  Its features are its length, how its characters change class from one to
 the next, how much of it common words cover, whether it looks like a path or an
 address, and the words beside it.
 """
@@ -17,15 +17,22 @@ from pyspark.sql import functions as F
 from smelter.llm.common import saved, whole_text
 
 MIN_LENGTH = 16
+# Words that are a sign of assignment alone.
+SIGNS = ("=", ":", ":=", "=>")
 # The dictionary: so many of the corpus's most frequent words of four letters or more.
 DICTIONARY_WORDS = 500
 # Labelled findings the forest is grown from, at most; taken by hash.
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 7
 
-# An optional name and sign of assignment inside the token, then the value.
-_VALUE = r"(?:([A-Za-z_]{2,20})[=:])?[\"'(\[<{]*([A-Za-z0-9_+/=.@-]{16,})"
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api_?key|apikey|access|auth|bearer|credential|private)"
+_RUN = r"[A-Za-z0-9_+/=.@-]"
+_OPENED = r"[\"'(\[<{]*"
+# An optional name and sign of assignment inside the token, then the value.
+_VALUE = rf"(?:([A-Za-z_]{{2,20}})[\"']?[=:])?{_OPENED}({_RUN}{{16,}})"
+# A credential's name, up to the sign behind it; with the value inside the token, at most 20 letters on each side.
+_NAME_END = r"[A-Za-z0-9_-]{0,20}[\"']?"
+_GIVEN = rf"([A-Za-z_]{{0,20}}{CREDENTIAL.replace('(token', '(?:token')}[A-Za-z0-9_-]{{0,20}})[\"']?(?::=|=>|[=:]){_OPENED}({_RUN}+)"
 
 FEATURES = [
     "length",
@@ -49,11 +56,30 @@ FEATURES = [
 ]
 
 
+# Matches in the column ``word``, with the place of the value and whether it is a credential's.
+_FIND = """aggregate(
+    arrays_zip(regexp_extract_all(word, {p}, 0), regexp_extract_all(word, {p}, 1), regexp_extract_all(word, {p}, 2)),
+    named_struct('next', 1, 'all', cast(array() as array<struct<offset:int,value:string,name:string,given:boolean>>)),
+    (s, m) -> named_struct(
+        'next', locate(m['0'], word, s.next) + char_length(m['0']),
+        'all', s.all || array(named_struct(
+            'offset', locate(m['0'], word, s.next) + char_length(m['0']) - 1 - char_length(m['2']),
+            'value', m['2'], 'name', m['1'], 'given', {given}))),
+    s -> s.all)"""
+
+
+def _matches(pattern: str, given: bool) -> Column:
+    """(offset, value, name, given) of every match of ``pattern``, a name and a value, in the column ``word``."""
+    quoted = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return F.expr(_FIND.format(p=quoted, given=str(given).lower()))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, value, name, before, after, quoted, assigned) per candidate of (doc_id, text).
+    """(doc_id, at, offset, value, name, before, after, quoted, assigned) per candidate of (doc_id, text).
 
-    ``at`` counts the document's tokens from 0; ``before`` and ``after`` are the
-    neighbouring words, past a lone sign of assignment.  Null texts have none.
+    ``at`` counts the document's tokens from 0, ``offset`` the characters of the token
+    before the value; ``before`` and ``after`` are the neighbouring words, past a lone
+    sign of assignment.  Null texts have none.
     """
     words = docs.select("doc_id", F.split(whole_text(), r"\s+").alias("words"))
     empty = F.lit("")
@@ -62,29 +88,46 @@ def candidates(docs: DataFrame) -> DataFrame:
         return F.coalesce(F.get("words", at), empty)
 
     def look(word: Column, at: Column) -> Column:
+        first, second = beside(at - 1), beside(at - 2)
+        long = (F.char_length(word) >= MIN_LENGTH) & word.rlike("[0-9]")
+        inside = (word.contains("=") | word.contains(":")) & word.rlike(CREDENTIAL)
+        ended = first.endswith(":") | first.endswith("=") | first.endswith("=>")
+        sign = first.isin(*SIGNS)
+        behind = ended & ~sign & first.rlike(CREDENTIAL + _NAME_END + "(:=|=>|[=:])$")
+        behind = behind | (sign & second.rlike(CREDENTIAL + _NAME_END + "$"))
         found = F.struct(
             at.alias("at"),
             word.alias("word"),
-            beside(at - 2).alias("second"),
-            beside(at - 1).alias("first"),
+            second.alias("second"),
+            first.alias("first"),
             beside(at + 1).alias("after"),
+            behind.alias("behind"),
         )
-        return F.when((F.char_length(word) >= MIN_LENGTH) & word.rlike("[0-9]"), found)
+        return F.when(long | inside | behind, found)
 
     looked = F.filter(F.transform("words", look), lambda f: f.isNotNull())
     flat = words.select("doc_id", F.explode_outer(looked).alias("f")).where("f is not null").select("doc_id", "f.*")
-    sign = F.col("first").isin("=", ":", ":=", "=>")
-    named = flat.select(
+    behind = F.filter(_matches(rf"^{_OPENED}()({_RUN}+)", True), lambda m: F.col("behind"))
+    plain = F.filter(_matches(_VALUE, False), lambda m: m["value"].rlike("[0-9]"))
+    flat = flat.withColumn("plain", plain).withColumn("more", F.concat(_matches(_GIVEN, True), behind))
+
+    # A value that both ways find is one candidate.
+    def new(m: Column) -> Column:
+        return ~F.exists("plain", lambda p: (p["offset"] == m["offset"]) & (p["value"] == m["value"]))
+
+    every = flat.select("*", F.explode(F.concat("plain", F.array_distinct(F.filter("more", new)))).alias("m"))
+    sign = F.col("first").isin(*SIGNS)
+    return every.select(
         "doc_id",
         F.col("at").cast("long").alias("at"),
-        F.regexp_extract("word", _VALUE, 2).alias("value"),
-        F.regexp_extract("word", _VALUE, 1).alias("name"),
+        F.col("m.offset").cast("long").alias("offset"),
+        F.col("m.value").alias("value"),
+        F.col("m.name").alias("name"),
         F.when(sign, F.col("second")).otherwise(F.col("first")).alias("before"),
         "after",
         F.col("word").rlike("[\"']").alias("quoted"),
-        (sign | F.col("word").rlike("^[A-Za-z_]{2,20}[=:]")).alias("assigned"),
+        (sign | F.col("m.given") | (F.col("m.name") != "")).alias("assigned"),
     )
-    return named.where(F.col("value").rlike("[0-9]"))
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> list[str]:
@@ -154,8 +197,8 @@ def scored(found: DataFrame, findings: DataFrame) -> DataFrame:
     of them are used, the first by hash.  With labels of one kind that kind is every
     score; without any it is 0.5.
     """
-    order = [F.xxhash64("doc_id", "at"), F.col("doc_id"), F.col("at"), F.col("value")]
-    sample = saved(findings.select(*FEATURES, "label", "doc_id", "at", "value").orderBy(*order).limit(TRAINING_ROWS), "findings")
+    order = [F.xxhash64("doc_id", "at"), F.col("doc_id"), F.col("at"), F.col("offset"), F.col("value")]
+    sample = saved(findings.select(*FEATURES, "label", "doc_id", "at", "offset", "value").orderBy(*order).limit(TRAINING_ROWS), "findings")
     kinds = [r["label"] for r in sample.select("label").distinct().collect()]
     if len(kinds) < 2:
         return found.withColumn("score", F.lit(kinds[0] if kinds else 0.5).cast("double"))
