@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import Column, SparkSession
 
@@ -64,7 +66,29 @@ def build_session(
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package's sources to the Python workers, once per application.
+
+    Functions that run in tasks are found there by module name, and a worker knows
+    neither the driver's import path nor its working folder.  A package that is
+    itself inside an archive came by ``--py-files`` and is there already.
+    """
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if context.applicationId not in _SHIPPED and root.is_dir():
+        archive = Path(tempfile.mkdtemp(prefix="smelter-src-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent).as_posix())
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
