@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smelter.session import use_utc
+from smelter.session import ship_package, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(use_utc(spark), sf_dir)
+            return build(ship_package(use_utc(spark)), sf_dir)
 
         run.__name__, run.__doc__ = build.__name__, build.__doc__
         QUERIES[build.__name__] = run
