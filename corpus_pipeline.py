@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from smelter.llm import decontaminate, lines, pieces, similar, toxicity
 from smelter.llm.common import saved, table, whole_text, with_row_key
 from smelter.llm.queries import PIECE_MODEL
+from smelter.session import ship_package
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's result written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(ship_package(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)
     return docs
