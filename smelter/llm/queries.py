@@ -9,6 +9,7 @@ from smelter.llm import (
     decontaminate,
     fingerprints,
     lines,
+    manifest,
     pieces,
     pii,
     secret_scan,
@@ -113,3 +114,9 @@ def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as pieces, with its four best segmentations and whether it decodes to itself."""
     model = pieces.model_bytes(PIECE_MODEL)
     return pieces.encode_documents(table(spark, sf_dir, "documents"), model)
+
+
+@query(manifest.PROOFS_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest, proof and subroot of every row, checked against a tampered copy."""
+    return manifest.proofs_of_tampered(table(spark, sf_dir, "documents"))
