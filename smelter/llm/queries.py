@@ -12,6 +12,7 @@ from smelter.llm import (
     manifest,
     pieces,
     pii,
+    ranked,
     secret_scan,
     sharding,
     simhash,
@@ -120,3 +121,9 @@ def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest, proof and subroot of every row, checked against a tampered copy."""
     return manifest.proofs_of_tampered(table(spark, sf_dir, "documents"))
+
+
+@query(ranked.MATCHES_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return ranked.best_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
