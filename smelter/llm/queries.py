@@ -12,6 +12,7 @@ from smelter.llm import (
     manifest,
     pieces,
     pii,
+    prefix_free,
     ranked,
     secret_scan,
     sharding,
@@ -123,6 +124,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.proofs_of_tampered(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without byte strings that also start elsewhere."""
+    kept = prefix_free.drop_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query(ranked.MATCHES_SQL)
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifty best documents for every benchmark item."""
