@@ -298,12 +298,13 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(*_row_key(), whole_text().alias("text"))
     found = rows.mapInArrow(_occurrences, OCCURRENCE)
-    repeated = found.groupBy("k").count().where("count > 1").select("k")
+    # Stored, so that each join below has plain exchanges on both sides, which adaptive execution splits at a hot head.
+    repeated = saved(found.groupBy("k").count().where("count > 1").select("k"), "heads")
     live = saved(found.join(repeated, "k"), "phrases")
     first = F.min(F.struct("id", "h", "place")).alias("first")
     entries = saved(live.groupBy("k", "f").agg(F.count(F.lit(1)).alias("n"), first), "entries")
     groups = entries.groupBy("k").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-    open_groups = groups.where("kinds > 1 and least = 1").select("k", (F.col("kinds") > GROUP).alias("dealt"))
+    open_groups = saved(groups.where("kinds > 1 and least = 1").select("k", (F.col("kinds") > GROUP).alias("dealt")), "open")
     wanted = (
         entries.join(open_groups, "k")
         .select("first.*", F.struct("k", "first.place", (F.col("n") == 1).alias("once"), "dealt").alias("entry"))
@@ -317,7 +318,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     in_order = held.where("not dealt").repartition(partitions(docs.sparkSession), "k").sortWithinPartitions("k")
     ordered = in_order.mapInArrow(_ordered, FOUND)
     windows = held.where("dealt").mapInArrow(_windows, WINDOW)
-    twice = windows.groupBy("high", "low").count().where("count > 1")
+    twice = saved(windows.groupBy("high", "low").count().where("count > 1").select("high", "low"), "windows")
     dealt = windows.where("once").join(twice, ["high", "low"]).select("id", "h", F.col("start").alias("first"), F.col("start").alias("last"))
     start = F.shiftright("place", 16)
     whole = live.join(entries.where("n > 1").select("k", "f"), ["k", "f"])
