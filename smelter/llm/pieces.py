@@ -7,6 +7,8 @@ path is the segments' best paths.  Forward Viterbi gives the best score to every
 place of a segment.  The N best paths of a segment come from an A-star search
 backward from its end, for which those scores are exact estimates of what is
 still to come; the N best of the text combine the segments that lose least.
+Paths of equal score stand in the order of their ids from the end, in Viterbi as in
+the search.
 """
 
 from __future__ import annotations
@@ -145,11 +147,13 @@ class Pieces:
                 start = end - size
                 value = found[size - 1][1][:, start]
                 one, two = first[:, start] + value, second[:, start] + value
-                better = one > first[:, end]
+                new = found[size - 1][0][:, start]
+                # Of equal scores the smaller last id stays: the order in which the search from the end finds paths.
+                better = (one > first[:, end]) | ((one == first[:, end]) & (new >= 0) & (new < piece[:, end]))
                 second[:, end] = np.maximum(np.maximum(second[:, end], two), np.where(better, first[:, end], one))
                 first[:, end] = np.where(better, one, first[:, end])
                 back[:, end] = np.where(better, size, back[:, end])
-                piece[:, end] = np.where(better, found[size - 1][0][:, start], piece[:, end])
+                piece[:, end] = np.where(better, new, piece[:, end])
         place, steps = np.full(n, length), []
         rows = np.arange(n)
         usable = ~odd
