@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from smelter.functions.casts import ref
 from smelter.functions.scoring import risk_score
 from smelter.operators.history import current_rows
-from smelter.operators.joins import ROWS_PER_PIECE, left_join_features
+from smelter.operators.joins import left_join_features
 from smelter.session import Run
 
 ACTIVE = "ACTIVE"
@@ -67,13 +67,14 @@ def risk_features(
     policies: DataFrame,
     claims_per_key: DataFrame,
     on: str = "customer_id",
-    rows_per_piece: int = ROWS_PER_PIECE,
+    rows_per_piece: int | None = None,
     **score,
 ) -> DataFrame:
     """Policies with claims features (NULL where none) and ``overall_risk_score``.
 
     ``score`` takes the parameters of :func:`smelter.functions.risk_score`.
-    One customer may own many policies, so the join splits frequent keys.
+    One customer may own many policies; see :func:`left_join_features` for how the join
+    splits them, for which ``claims_per_key`` should be a stored table.
     """
     total = risk_score(F.col("total_claims"), F.col("total_claim_amount"), **score)
     joined = left_join_features(policies, claims_per_key, on, rows_per_piece)

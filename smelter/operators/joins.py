@@ -32,17 +32,27 @@ def left_join_features(
     facts: DataFrame,
     features: DataFrame,
     on: str,
-    rows_per_piece: int = ROWS_PER_PIECE,
+    rows_per_piece: int | None = None,
 ) -> DataFrame:
     """``facts`` left joined with ``features``, whose ``on`` is unique.
 
-    A frequent key's facts are spread over several pieces by their place in the
-    input, so that equal rows part too, and its single features row is repeated for
-    each piece, so no task gets all of them.  Rows without a key match nothing and
-    are spread over as many pieces as a shuffle has partitions.  ``facts`` should be
-    a stored table: a place is the same each time only if its rows come in the same
-    order.  ``on`` comes first in the result and stands there once.
+    Facts are read and shuffled once.  With ``features`` a stored table both sides of
+    the join are plain exchanges, so adaptive execution sees a frequent key, or the
+    rows without one, by the sizes of the shuffle itself, cuts those facts by the tasks
+    that wrote them and gives each part the key's single features row.
+
+    Where that is switched off, or ``features`` is grouped in the same job,
+    ``rows_per_piece`` splits by hand, at the price of one more pass over the key
+    column.  A frequent key's facts are then spread over several pieces by their place
+    in the input, so that equal rows part too, and its features row is repeated for
+    each; rows without a key are spread over as many pieces as a shuffle has
+    partitions.  For this ``facts`` should be a stored table: a place is the same each
+    time only if its rows come in the same order.
+
+    ``on`` comes first in the result and stands there once.
     """
+    if rows_per_piece is None:
+        return facts.join(features, on, "left")
     split = F.broadcast(split_keys(facts.where(ref(on).isNotNull()), [on], rows_per_piece))
     row_hash = F.xxhash64(F.monotonically_increasing_id())
     null_pieces = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))

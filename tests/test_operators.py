@@ -191,6 +191,27 @@ def test_split_join_spreads_the_frequent_key(spark):
         assert parted.count() == 1000 and largest_task(parted) < 400
 
 
+def test_adaptive_execution_splits_the_frequent_key(spark, tmp_path):
+    facts, per_key = str(tmp_path / "facts"), str(tmp_path / "features")
+    wide = facts_with_a_frequent_key(spark, 60_000).withColumn("filler", F.sha2(F.col("fact").cast("string"), 512))
+    wide.repartition(16).write.parquet(facts)
+    wide.where("customer_id is not null").groupBy("customer_id").count().write.parquet(per_key)
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+    }
+    with settings(spark, low):
+        joined = joins.left_join_features(spark.read.parquet(facts), spark.read.parquet(per_key), "customer_id")
+        rows = joined.collect()
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    final = text[text.index("Final Plan") : text.index("Initial Plan")]
+    assert "skew=true" in final and final.count("/facts]") == 1 and final.count("Exchange hashpartitioning") == 2
+    assert len(rows) == 60_000 and {r["count"] for r in rows if r.customer_id == "hot"} == {20_000}
+    assert {r["count"] for r in rows if r.customer_id is None} == {None}
+
+
 # --- gold -------------------------------------------------------------------
 
 
