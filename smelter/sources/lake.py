@@ -81,6 +81,14 @@ class Lake:
         text = description.replace("\\", "\\\\").replace("'", "\\'")
         df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
 
+    def overwrite_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
+        """Replace the partitions that ``df`` has rows of, and no others.
+
+        Rows are brought together by partition first, as in :meth:`write_batch`.
+        """
+        writer = df.hint("rebalance", *partition_by).write.format(self.fmt).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(self.path(layer, table))
+
     def batch_path(self, layer: str, table: str, batch_id: int) -> str:
         return f"{self.path(layer, table)}/{BATCH}={batch_id}"
 

@@ -15,6 +15,7 @@ from smelter.operators.conform import conform
 from smelter.operators.dedup import duplicate_keys, latest_per_key
 from smelter.operators.lineage import add_lineage
 from smelter.plans.batch import ingest, run_batch
+from smelter.plans.history import merge_history, read_history
 from smelter.session import Run, scratch_dir
 from smelter.sources import Lake, extract_fields, read_raw_csv, type_fields
 from workload.registry import query
@@ -532,6 +533,21 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history_output(history.as_of(_line_history(spark, sf_dir), "1998-06-01 00:00:00"))
 
 
+@query(_HISTORY_SQL)
+def scd2_history_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of order lines merged from three batches that each hold versions of all times."""
+    lake = Lake(scratch_dir(spark, "history"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp"), "l_returnflag", "l_linestatus", "l_suppkey"
+    )
+    for batch_id in range(3):
+        batch = lines.where(F.pmod("l_suppkey", F.lit(3)) == (batch_id * 2) % 3).drop("l_suppkey")
+        merge_history(
+            spark, lake, "silver", "lines", batch, batch_id, ["l_orderkey", "l_linenumber"], "l_shipdate", buckets=16
+        )
+    return _history_output(read_history(spark, lake, "silver", "lines"))
+
+
 _USERS_SQL = """
 WITH changed AS (
     SELECT user_id, ts, event_type FROM events
