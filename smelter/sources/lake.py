@@ -93,7 +93,7 @@ class Lake:
         return f"{self.path(layer, table)}/{BATCH}={batch_id}"
 
     def write_batch(
-        self, df: DataFrame, layer: str, table: str, batch_id: int, partition_by: Sequence[str] = ()
+        self, df: DataFrame, layer: str, table: str, batch_id: int, partition_by: Sequence[str] = (), gather: bool = True
     ) -> None:
         """Store a micro-batch in a folder of its own.
 
@@ -101,8 +101,9 @@ class Lake:
         event is stored once.  Rows are brought together by partition first, or
         a backfill would write a file per task and partition; adaptive execution
         cuts partitions that are too large for one task and merges small ones.
+        ``gather=False`` leaves them where they are, for few partitions.
         """
-        if partition_by:
+        if partition_by and gather:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
         writer.save(self.batch_path(layer, table, batch_id))

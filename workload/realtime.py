@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,17 @@ from smelter.plans import run_realtime
 from smelter.plans.realtime import GOLD, SILVER
 from smelter.session import scratch_dir
 from smelter.sources import Lake, read_event_array
-from smelter.streaming import rows_dropped_late, run_pending, start_realtime_silver
+from smelter.streaming import (
+    checked_schema,
+    earliest_events,
+    rows_dropped_late,
+    run_pending,
+    start_checked,
+    start_earliest,
+    start_realtime_silver,
+    stored_quality,
+)
+from smelter.streaming import late_events as stored_late_events
 from smelter.streaming.realtime import quality as stream_quality
 from workload.batch import AS_OF, HOURLY_7D_SQL, RUN, _gappy, customers_silver, hourly_output
 from workload.registry import query
@@ -124,6 +135,86 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("claim_id", plain_time(TIME), F.lit(late).cast("long").alias("late_count"))
 
 
+# Of each event three versions arrive, the latest first and the earliest last; every third earliest one is invalid.
+_VERSIONS_SQL = f"""
+{EVENTS_SQL}, versions AS (
+    SELECT 2 - v AS arrival, claim_id, policy_id, customer_id,
+           CASE WHEN v = 0 AND CAST(claim_id AS BIGINT) % 3 = 0 THEN NULL ELSE CAST(claim_amount + v AS DOUBLE) END AS claim_amount,
+           upper(trim(claim_status)) || '_' || v AS claim_status, CAST(NULL AS VARCHAR) AS claim_type,
+           event_timestamp + v * INTERVAL 5 DAY AS event_timestamp
+    FROM claim_events, (VALUES (0), (1), (2)) AS copies(v)
+), valid AS (
+    SELECT * FROM versions
+    WHERE claim_id IS NOT NULL AND policy_id IS NOT NULL AND event_timestamp IS NOT NULL AND claim_amount > 10
+)"""
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, lateness: dt.timedelta | None = dt.timedelta(days=20), **options: str):
+    """A lake after three runs, each with one version of every event in two files, and the form of the rows."""
+    lake = Lake(scratch_dir(spark, "realtime-versions"))
+    folder, base = lake.path("files", "events"), table(spark, sf_dir, "events")
+    for v in (2, 1, 0):
+        shifted = {
+            "ts": F.col("ts") + F.make_dt_interval(F.lit(5 * v)),
+            "value": F.when((F.lit(v) > 0) | (F.col("event_id") % 3 != 0), F.col("value") + v),
+            "event_type": F.concat("event_type", F.lit(f"_{v}")),
+        }
+        base.withColumns(shifted).repartition(2, "event_id").write.mode("append").parquet(folder)
+        stream = claim_events(spark.readStream.schema(base.schema).options(**options).parquet(folder))
+        run_pending(start_checked(stream, lake, lake.path("checkpoints", "checked"), ABOVE_TEN, lateness))
+        run_pending(start_earliest(spark, lake, checked_schema(stream, ABOVE_TEN), lake.path("checkpoints", "earliest")))
+    return lake, checked_schema(stream, ABOVE_TEN)
+
+
+@query(f"""
+WITH {_VERSIONS_SQL}
+SELECT claim_id, policy_id, customer_id, claim_amount, claim_status, claim_type, event_timestamp,
+       event_timestamp AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current, copies
+FROM (SELECT *, count(*) OVER (PARTITION BY claim_id) AS copies,
+             row_number() OVER (PARTITION BY claim_id ORDER BY event_timestamp, policy_id, customer_id, claim_amount, claim_status) AS rn
+      FROM valid) WHERE rn = 1
+""")
+def realtime_silver_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest valid event of each claim, though later ones that differ arrive in runs before."""
+    lake, schema = _arrivals(spark, sf_dir, None, maxFilesPerTrigger="1")
+    claims = earliest_events(spark, lake, schema)
+    return claims.withColumns({c: plain_time(c) for c in (TIME, "effective_from", "effective_to")})
+
+
+_LATE_SQL = f"""
+{_VERSIONS_SQL}, reached AS (
+    SELECT arrival, max(max(event_timestamp)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+    FROM valid GROUP BY arrival
+), judged AS (
+    SELECT valid.*, coalesce(event_timestamp < newest - INTERVAL 20 DAY, FALSE) AS late FROM valid JOIN reached USING (arrival)
+)"""
+
+
+@query(f"""
+WITH {_LATE_SQL}
+SELECT claim_id, claim_amount, claim_status, event_timestamp FROM judged WHERE late
+""")
+def late_events_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events themselves that are over twenty days behind the newest of earlier runs."""
+    lake, _ = _arrivals(spark, sf_dir)
+    return stored_late_events(spark, lake).select("claim_id", "claim_amount", "claim_status", plain_time(TIME))
+
+
+@query(f"""
+WITH {_LATE_SQL}, counts AS (
+    SELECT (SELECT count(*) FROM versions) AS record_count, (SELECT count(*) FROM versions) - count(*) AS invalid_count,
+           count(*) FILTER (late) AS late_count, count(DISTINCT claim_id) FILTER (NOT late) AS cleaned_count
+    FROM judged)
+SELECT *, record_count - cleaned_count AS dropped_count,
+       CASE WHEN record_count > 0 THEN CAST(cleaned_count AS DOUBLE) / CAST(record_count AS DOUBLE) * 100 ELSE 0 END AS pass_rate
+FROM counts
+""")
+def realtime_quality_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts over three runs, from stored tables."""
+    lake, schema = _arrivals(spark, sf_dir)
+    return stored_quality(spark, lake, earliest_events(spark, lake, schema))
+
+
 @query(f"""
 WITH {EVENTS_SQL}
 SELECT claim_id, policy_id, customer_id, CAST(claim_amount AS DOUBLE) AS claim_amount, claim_status, event_timestamp
