@@ -274,7 +274,7 @@ def test_every_run_and_credential_is_a_candidate(spark):
 def test_spans(spark, docs, empty):
     passage = "One two three four five six seven. Eight nine ten eleven twelve thirteen fourteen. Ends here with some more words."
     rows = [(1, "Start of one. " + passage), (2, passage + " Own end of two is fine."), (3, "Nothing. At all."), (4, passage + "\n" + passage)]
-    out = {r.doc_id: r for r in spans.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    out = {r.doc_id: r for r in spans.drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"), least_words=10).collect()}
     assert out[1].text == rows[0][1] and out[2].text == "Own end of two is fine." and out[3].removed_sentences == 0 and out[4].text == ""
     kept = spans.drop_repeated_runs(docs)
     assert kept.columns == [*docs.columns, "sentences", "removed_sentences"] and kept.count() == docs.count()
