@@ -15,7 +15,7 @@ from smelter.sources.readers import stream_events
 from smelter.contracts import Contract
 from smelter.entities import CLAIM_EVENT_FIELDS, REALTIME_CLAIMS
 from smelter.streaming.fanout import RAW_LAYER, TABLE, start_fan_out
-from smelter.streaming.hourly import hourly_view
+from smelter.streaming.hourly import hourly_view, merge_days
 from smelter.streaming.progress import run_pending
 from smelter.streaming.realtime import quality, start_realtime_silver
 
@@ -57,9 +57,10 @@ def run_realtime(
     Returns the quality counts of the typed claims, which ``contract`` types and checks.  ``max_files_per_batch``
     bounds the size of one micro-batch, for instance when a backlog is taken in.
 
-    Safe to repeat: checkpoints below the lake's root remember what was done.
-    Typed claims read the raw table only once its batches are complete, so a
-    batch that is played again is never read half replaced.
+    The hourly groups of the run's batches are merged into one folder per day.  Safe to
+    repeat: checkpoints below the lake's root remember what was done, and typed claims
+    read the raw table only once its batches are complete, so a batch that is played
+    again is never read half replaced.
     """
     if lake.fmt not in FILE_FORMATS:
         raise ValueError(f"real-time tables need a file format such as {FILE_FORMATS}, not {lake.fmt}")
@@ -68,6 +69,7 @@ def run_realtime(
     bound = {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
     arriving = stream_events(spark, events_path, **bound)
     run_pending(start_fan_out(arriving, lake, f"{checkpoints}/fan_out"))
+    merge_days(spark, lake)
     raw_table = f"{lake.path(RAW_LAYER, TABLE)}/*"
     stored = stream_events(spark, raw_table, fmt=lake.fmt, schema=raw_event_schema(), **bound)
     silver = start_realtime_silver(

@@ -92,6 +92,13 @@ class Lake:
     def batch_path(self, layer: str, table: str, batch_id: int) -> str:
         return f"{self.path(layer, table)}/{BATCH}={batch_id}"
 
+    def batches(self, spark: SparkSession, layer: str, table: str) -> list[int]:
+        """Numbers of the stored micro-batches, ascending, from one listing of the table's folder."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+        return sorted(int(n.removeprefix(f"{BATCH}=")) for n in names if n.startswith(f"{BATCH}="))
+
     def write_batch(
         self, df: DataFrame, layer: str, table: str, batch_id: int, partition_by: Sequence[str] = (), gather: bool = True
     ) -> None:

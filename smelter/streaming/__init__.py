@@ -9,7 +9,7 @@ from smelter.streaming.checked import (
     stored_quality,
 )
 from smelter.streaming.fanout import start_fan_out
-from smelter.streaming.hourly import hourly_view, start_hourly, start_hourly_bounded
+from smelter.streaming.hourly import hourly_view, merge_days, start_hourly, start_hourly_bounded
 from smelter.streaming.progress import run_pending, rows_dropped_late
 from smelter.streaming.realtime import quality, start_alerts, start_realtime_silver, typed_claims
 
@@ -18,6 +18,7 @@ __all__ = [
     "earliest_events",
     "hourly_view",
     "late_events",
+    "merge_days",
     "quality",
     "rows_dropped_late",
     "run_pending",

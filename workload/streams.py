@@ -15,6 +15,7 @@ from smelter.session import scratch_dir
 from smelter.sources import Lake
 from smelter.streaming import (
     hourly_view,
+    merge_days,
     run_pending,
     start_alerts,
     start_fan_out,
@@ -24,7 +25,7 @@ from smelter.streaming import (
 )
 from workload.batch import AS_OF, HOURLY_7D_SQL, HOURLY_SQL, as_doubles, hourly_output
 from workload.registry import query
-from workload.tables import EVENTS_SQL, claim_events, event_stream, plain_time
+from workload.tables import EVENTS_SQL, claim_events, event_stream, plain_time, table
 
 
 def _checkpoint(lake: Lake) -> str:
@@ -56,6 +57,20 @@ def gold_sync_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_output(hourly_view(spark, lake, as_of=AS_OF, back=dt.timedelta(days=7)))
 
 
+@query(HOURLY_7D_SQL)
+def gold_sync_7d_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days from hourly groups that are merged by day after the first two of three runs."""
+    lake = Lake(scratch_dir(spark, "gold-merged"))
+    folder, events = lake.path("files", "events"), table(spark, sf_dir, "events")
+    for part in range(3):
+        events.where(F.pmod("event_id", F.lit(3)) == part).repartition(2).write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+        run_pending(start_hourly(claim_events(arriving), lake, _checkpoint(lake)))
+        if part < 2:
+            merge_days(spark, lake)
+    return hourly_output(hourly_view(spark, lake, as_of=AS_OF, back=dt.timedelta(days=7)))
+
+
 ABOVE_TEN = Contract(
     "claims_above_ten",
     (
