@@ -204,7 +204,8 @@ def scored(found: DataFrame, findings: DataFrame) -> DataFrame:
         return found.withColumn("score", F.lit(kinds[0] if kinds else 0.5).cast("double"))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
-    model = forest.fit(assembler.transform(sample))
+    # A copy has no training summary.  That refers to the session, which cannot go to tasks once something was observed in it.
+    model = forest.fit(assembler.transform(sample)).copy()
     out = model.transform(assembler.transform(found))
     return out.withColumn("score", vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability", "prediction"
