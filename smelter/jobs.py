@@ -3,6 +3,7 @@
     spark-submit run.py batch    --lake URI --source policies=URI --source claims=URI ...
     spark-submit run.py ingest   --lake URI --entity claims --source claims=URI
     spark-submit run.py clean    --lake URI --entity claims
+    spark-submit run.py clean    --lake URI --entity claims --incremental   (new bronze files only)
     spark-submit run.py gold     --lake URI --table risk_features
     spark-submit run.py realtime --lake URI --events URI [--lateness "7 days"]
     spark-submit run.py alerts   --lake URI --out URI    (high-value events of the last hour)
@@ -43,6 +44,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--source", action="append", default=[], metavar="ENTITY=URI")
     parser.add_argument("--entity", choices=sorted(ENTITIES))
     parser.add_argument("--order", default="dedup_first", choices=["dedup_first", "validate_first"])
+    parser.add_argument("--incremental", action="store_true", help="clean new bronze files only")
     parser.add_argument("--table", choices=sorted(GOLD))
     parser.add_argument("--events", help="folder of JSON event files, one event per line")
     parser.add_argument("--max-files", type=int, help="event files per micro-batch")
@@ -53,6 +55,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     needs = {**required, **dict.fromkeys(QUERIES, "out")}.get(args.flow)
     if needs and not getattr(args, needs):
         parser.error(f"{args.flow} needs --{needs}")
+    if args.incremental and args.order != "dedup_first":
+        parser.error("--incremental keeps the newest row of a key, valid or not")
     args.sources = dict(s.split("=", 1) for s in args.source)
     if args.flow == "ingest" and args.entity not in args.sources:
         parser.error(f"ingest needs --source {args.entity}=URI")
@@ -68,9 +72,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         entities = {n: with_contract_files(spark, e, args.contracts) for n, e in ENTITIES.items()}
     report = None
     if args.flow == "batch":
-        report = batch.run_batch(spark, lake, args.sources, run, entities)
+        report = batch.run_batch(spark, lake, args.sources, run, entities, args.incremental)
     elif args.flow == "ingest":
         report = batch.ingest(spark, lake, entities[args.entity], args.sources[args.entity], run)
+    elif args.flow == "clean" and args.incremental:
+        report = batch.clean_new(spark, lake, entities[args.entity], run)
     elif args.flow == "clean":
         report = batch.clean(spark, lake, entities[args.entity], run, args.order)
     elif args.flow == "gold":

@@ -25,15 +25,17 @@ def latest_per_key(
     before the shuffle, so a key that holds a third of the table sends one row
     per task, not a third of the table.
 
-    ``copies`` names an extra column with the number of rows each key had.
+    ``copies`` names an extra column with the number of rows each key had.  Where
+    ``df`` has it already, its rows stand for that many, and the counts are added.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     newest = [c for c in newest_by if c in df.columns]
-    ranked = [*newest, *[c for c in df.columns if c not in keys and c not in newest]]
+    ranked = [*newest, *[c for c in df.columns if c not in keys and c not in newest and c != copies]]
     if copies is not None:
         best = F.max(F.struct(F.lit(0).alias(_RANK), *map(ref, ranked))).alias(_BEST)
-        columns = [ref(c) if c in keys else F.col(_BEST)[c].alias(c) for c in df.columns]
-        return df.groupBy(*map(ref, keys)).agg(best, F.count(F.lit(1)).alias(copies)).select(*columns, copies)
+        columns = [ref(c) if c in keys else F.col(_BEST)[c].alias(c) for c in df.columns if c != copies]
+        rows = F.sum(ref(copies)) if copies in df.columns else F.count(F.lit(1))
+        return df.groupBy(*map(ref, keys)).agg(best, rows.alias(copies)).select(*columns, copies)
     if not ranked:
         return df.distinct()
     window = Window.partitionBy(*map(ref, keys)).orderBy(*[ref(c).desc_nulls_last() for c in ranked])

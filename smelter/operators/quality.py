@@ -67,6 +67,14 @@ def clean_counters(compiled: Compiled) -> list[Column]:
     ]
 
 
+def metrics_of(observed: dict[str, int | None]) -> dict[str, float]:
+    """Observed :func:`clean_counters`, with what was dropped and the percentage that passed (0 of nothing)."""
+    metrics = {k: v or 0 for k, v in observed.items()}
+    records = metrics.setdefault("record_count", 0)
+    cleaned = metrics.setdefault("cleaned_count", 0)
+    return {**metrics, "dropped_count": records - cleaned, "pass_rate": cleaned / records * 100 if records else 0.0}
+
+
 def with_rates(metrics: DataFrame) -> DataFrame:
     """Add what was dropped, and the percentage that passed (0 of nothing)."""
     rate = F.when(F.col("record_count") > 0, F.col("cleaned_count") / F.col("record_count") * 100)

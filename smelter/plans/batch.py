@@ -16,7 +16,8 @@ from smelter.operators.conform import compile_contract
 from smelter.operators.dedup import duplicate_keys, latest_per_key
 from smelter.operators.history import stamp_current
 from smelter.operators.lineage import PARTITION_COLUMN, SOURCE_SYSTEM, add_lineage
-from smelter.operators.quality import COPIES, check_columns, clean_counters, null_counters
+from smelter.operators.quality import COPIES, check_columns, clean_counters, metrics_of, null_counters
+from smelter.plans.increments import clean_new, read_silver
 from smelter.session import Run
 from smelter.sources.lake import Lake
 from smelter.sources.readers import read_raw_csv
@@ -92,17 +93,14 @@ def clean(
     valid = survivors.observe(seen, *clean_counters(compiled)).where(compiled.passes).drop(COPIES)
     silver = stamp_current(valid.withColumn("processed_timestamp", run.ts_column))
     lake.overwrite(silver, "silver", entity.name, entity.description)
-    metrics = {k: v or 0 for k, v in seen.get.items()}
-    records, cleaned = metrics.get("record_count", 0), metrics.get("cleaned_count", 0)
-    metrics["dropped_count"] = records - cleaned
-    metrics["pass_rate"] = cleaned / records * 100 if records else 0.0
+    metrics = metrics_of(seen.get)
     log.info("%s: %s", entity.name, metrics)
     return metrics
 
 
 def repeated_keys(spark: SparkSession, lake: Lake, entity: Entity) -> DataFrame:
     """Keys on several silver rows; cleaning leaves none."""
-    return duplicate_keys(lake.read(spark, "silver", entity.name), entity.key)
+    return duplicate_keys(read_silver(spark, lake, entity.name), entity.key)
 
 
 def _gold(lake: Lake, name: str, df: DataFrame) -> None:
@@ -110,26 +108,26 @@ def _gold(lake: Lake, name: str, df: DataFrame) -> None:
 
 
 def build_claims_features(spark: SparkSession, lake: Lake, run: Run) -> None:
-    claims = lake.read(spark, "silver", "claims")
+    claims = read_silver(spark, lake, "claims")
     _gold(lake, "claims_features", features.stamp(features.claims_features(claims), run))
 
 
 def build_customer_features(spark: SparkSession, lake: Lake, run: Run) -> None:
-    per_customer = features.policy_features(lake.read(spark, "silver", "policies"))
-    joined = features.customer_features(lake.read(spark, "silver", "customers"), per_customer)
+    per_customer = features.policy_features(read_silver(spark, lake, "policies"))
+    joined = features.customer_features(read_silver(spark, lake, "customers"), per_customer)
     _gold(lake, "customer_features", features.stamp(joined, run))
 
 
 def build_risk_features(spark: SparkSession, lake: Lake, run: Run, **score) -> None:
     """Needs the stored claims features; their timestamp gives way to this run's."""
-    policies = lake.read(spark, "silver", "policies")
+    policies = read_silver(spark, lake, "policies")
     per_customer = lake.read(spark, "gold", "claims_features")
     scored = features.risk_features(policies, per_customer, **score)
     _gold(lake, "risk_features", features.stamp(scored, run))
 
 
 def build_monthly_summary(spark: SparkSession, lake: Lake, run: Run) -> None:
-    summary = features.monthly_summary(lake.read(spark, "silver", "claims"))
+    summary = features.monthly_summary(read_silver(spark, lake, "claims"))
     _gold(lake, "monthly_claims_summary", features.stamp(summary, run))
 
 
@@ -145,10 +143,14 @@ def run_batch(
     sources: Mapping[str, str | Sequence[str]],
     run: Run | None = None,
     entities: Mapping[str, Entity] = ENTITIES,
+    incremental: bool = False,
+    buckets: int = 1024,
 ) -> dict[str, dict]:
     """The daily run over the CSV files of all entities; returns all counts.
 
-    Raw files are appended, silver and gold rebuilt from everything stored.
+    Raw files are appended, silver and gold rebuilt from everything stored;
+    ``incremental`` brings silver up to date by :func:`clean_new` instead, in this
+    many ``buckets``.
     """
     if set(sources) != set(entities):
         raise ValueError(f"sources are needed for exactly these entities: {sorted(entities)}")
@@ -157,7 +159,8 @@ def run_batch(
 
     def refine(name: str) -> None:
         report[f"bronze_{name}"] = ingest(spark, lake, entities[name], sources[name], run)
-        report[f"silver_{name}"] = clean(spark, lake, entities[name], run)
+        refresh = partial(clean_new, buckets=buckets) if incremental else clean
+        report[f"silver_{name}"] = refresh(spark, lake, entities[name], run)
         if entities[name].audit_keys:
             repeated = repeated_keys(spark, lake, entities[name]).count()
             report[f"silver_{name}"]["repeated_keys"] = repeated

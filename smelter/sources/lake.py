@@ -70,9 +70,11 @@ class Lake:
             empty = df.sparkSession.createDataFrame([], schema)
             empty.write.format(self.fmt).mode("append").save(f"{self.path(layer, table)}/{column}={value}")
 
-    def overwrite(self, df: DataFrame, layer: str, table: str, description: str = "") -> None:
+    def overwrite(
+        self, df: DataFrame, layer: str, table: str, description: str = "", partition_by: Sequence[str] = ()
+    ) -> None:
         """Replace all rows, and describe the table.  ``df`` must not read it."""
-        writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", True)
+        writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", True).partitionBy(*partition_by)
         if not self.database:
             writer.option("description", description).save(self.path(layer, table))
             return
@@ -81,23 +83,62 @@ class Lake:
         text = description.replace("\\", "\\\\").replace("'", "\\'")
         df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
 
-    def overwrite_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
+    def overwrite_partitions(
+        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str], gather: bool = True
+    ) -> None:
         """Replace the partitions that ``df`` has rows of, and no others.
 
         Rows are brought together by partition first, as in :meth:`write_batch`.
         """
-        writer = df.hint("rebalance", *partition_by).write.format(self.fmt).mode("overwrite")
+        if gather:
+            df = df.hint("rebalance", *partition_by)
+        writer = df.write.format(self.fmt).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(self.path(layer, table))
 
     def batch_path(self, layer: str, table: str, batch_id: int) -> str:
         return f"{self.path(layer, table)}/{BATCH}={batch_id}"
 
+    @staticmethod
+    def _folder(spark: SparkSession, path: str):
+        """(file system, path) as Hadoop's own objects."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+    def partition_values(self, spark: SparkSession, path: str, column: str) -> list[str]:
+        """Values of ``column`` among the partition folders right below ``path``, from one listing."""
+        files, folder = self._folder(spark, path)
+        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+        return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+
     def batches(self, spark: SparkSession, layer: str, table: str) -> list[int]:
         """Numbers of the stored micro-batches, ascending, from one listing of the table's folder."""
-        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
-        return sorted(int(n.removeprefix(f"{BATCH}=")) for n in names if n.startswith(f"{BATCH}="))
+        return sorted(map(int, self.partition_values(spark, self.path(layer, table), BATCH)))
+
+    def is_complete(self, spark: SparkSession, path: str) -> bool:
+        """Whether Spark's write of this folder has ended."""
+        files, folder = self._folder(spark, path + "/_SUCCESS")
+        return files.exists(folder)
+
+    def file_counts(self, spark: SparkSession, layer: str, table: str, column: str) -> dict[str, int]:
+        """Number of files below each partition folder of ``column``."""
+        root = self.path(layer, table)
+        counts = {}
+        for value in self.partition_values(spark, root, column):
+            files, folder = self._folder(spark, f"{root}/{column}={value}")
+            counts[value] = files.getContentSummary(folder).getFileCount()
+        return counts
+
+    def read_folders(self, spark: SparkSession, layer: str, table: str, folders: Sequence[str]) -> DataFrame:
+        """The rows below these partition folders, with the columns of them all; others are not listed."""
+        root = self.path(layer, table)
+        reader = spark.read.format(self.fmt).option("mergeSchema", True).option("basePath", root)
+        return reader.load([f"{root}/{f}" for f in folders])
+
+    def drop_partitions(self, spark: SparkSession, layer: str, table: str, column: str, values: Sequence[object]) -> None:
+        """Remove the partition folders ``column=value``; those that do not exist are skipped."""
+        for value in values:
+            files, folder = self._folder(spark, f"{self.path(layer, table)}/{column}={value}")
+            files.delete(folder, True)
 
     def write_batch(
         self, df: DataFrame, layer: str, table: str, batch_id: int, partition_by: Sequence[str] = (), gather: bool = True

@@ -16,6 +16,7 @@ from smelter.operators.dedup import duplicate_keys, latest_per_key
 from smelter.operators.lineage import add_lineage
 from smelter.plans.batch import ingest, run_batch
 from smelter.plans.history import merge_history, read_history
+from smelter.plans.increments import clean_new, read_silver
 from smelter.session import Run, scratch_dir
 from smelter.sources import Lake, extract_fields, read_raw_csv, type_fields
 from workload.registry import query
@@ -683,6 +684,29 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole flow -------------------------------------------------------------
 
 
+def raw_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables as raw files of the four entities."""
+    orders = table(spark, sf_dir, "orders")
+    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return {
+        "policies": policies(spark, sf_dir).select(
+            "policy_id", "customer_id", F.lit("order").alias("product_type"), "premium", "status",
+            F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
+        ),
+        "claims": table(spark, sf_dir, "lineitem").join(owner, "l_orderkey").select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_id"),
+            F.col("l_orderkey").alias("policy_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("claim_date"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("claim_amount"),
+            F.col("l_returnflag").alias("claim_status"),
+            F.lit("line").alias("claim_type"),
+        ),
+        "customers": customer_rows(spark, sf_dir),
+        "agents": agent_rows(spark, sf_dir),
+    }
+
+
 @query(f"""
 WITH lines AS (
     SELECT concat_ws('-', l_orderkey, l_linenumber) AS claim_id, o_custkey, l_shipdate,
@@ -721,25 +745,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 def medallion_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files of all entities through bronze, silver and gold; totals of what came out."""
     lake = Lake(scratch_dir(spark, "batch-run"))
-    orders = table(spark, sf_dir, "orders")
-    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    raw = {
-        "policies": policies(spark, sf_dir).select(
-            "policy_id", "customer_id", F.lit("order").alias("product_type"), "premium", "status",
-            F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
-        ),
-        "claims": table(spark, sf_dir, "lineitem").join(owner, "l_orderkey").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_id"),
-            F.col("l_orderkey").alias("policy_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.date_format("l_shipdate", "yyyy-MM-dd").alias("claim_date"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("claim_amount"),
-            F.col("l_returnflag").alias("claim_status"),
-            F.lit("line").alias("claim_type"),
-        ),
-        "customers": customer_rows(spark, sf_dir),
-        "agents": agent_rows(spark, sf_dir),
-    }
+    raw = raw_entities(spark, sf_dir)
     sources = {name: lake.path("files", name) for name in raw}
     with ThreadPoolExecutor(len(raw)) as pool:
         list(pool.map(lambda name: raw[name].write.option("header", True).csv(sources[name]), raw))
@@ -756,3 +762,78 @@ def medallion_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = totals("gold", "monthly_claims_summary", F.sum("total_claims"), F.sum("total_claim_amount"))
     agents = totals("silver", "agents", F.count_distinct("agent_type"), F.lit(0.0))
     return claims.unionByName(customers).unionByName(risk).unionByName(monthly).unionByName(agents)
+
+
+NEXT_RUN = Run(RUN.ts + dt.timedelta(days=1), "00000000-0000-0000-0000-000000000001")
+
+
+@query("""
+WITH newest AS (
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+           CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS premium,
+           CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-31 00:00:00' END AS since
+    FROM orders
+    WHERE o_orderkey % 15 <> 0
+    QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey DESC, o_totalprice DESC, o_orderstatus DESC, o_orderdate DESC) = 1
+)
+SELECT CAST(o_orderkey AS VARCHAR) AS policy_id, CAST(o_custkey AS VARCHAR) AS customer_id, CAST(premium AS DOUBLE) AS premium,
+       upper(trim(o_orderstatus)) AS status, CAST(o_orderdate AS DATE) AS start_date, since AS effective_from
+FROM newest WHERE premium > 0
+""")
+def policies_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies arrive in two files of one day and one of the next, which replaces a third of them, some by invalid rows."""
+    lake = Lake(scratch_dir(spark, "increments"))
+    rows = policies(spark, sf_dir).select(
+        "policy_id", "customer_id", F.lit("order").alias("product_type"), "premium", "status",
+        F.date_format("start_date", "yyyy-MM-dd").alias("start_date"),
+    )
+    part = F.col("policy_id").cast("long") % 3
+    replaced = F.when(F.col("policy_id").cast("long") % 5 == 0, F.lit(-1)).otherwise(F.col("premium") + 1)
+    arriving = [
+        (rows.where(part < 2), RUN),
+        (rows.where(part == 2), RUN),
+        (rows.where(part == 0).withColumn("premium", replaced), NEXT_RUN),
+    ]
+    for i, (files, run) in enumerate(arriving):
+        files.write.option("header", True).csv(f"{lake.root}/files/{i}")
+        ingest(spark, lake, POLICIES, f"{lake.root}/files/{i}", run)
+        clean_new(spark, lake, POLICIES, run, buckets=8)
+    silver = read_silver(spark, lake, "policies")
+    return silver.select("policy_id", "customer_id", "premium", "status", "start_date", plain_time("effective_from"))
+
+
+@query("""
+WITH claims AS (
+    SELECT * FROM (
+        SELECT concat_ws('-', l_orderkey, l_linenumber) AS claim_id, o_custkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+            ORDER BY strftime(l_shipdate, '%Y-%m-%d') DESC NULLS LAST, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) DESC NULLS LAST,
+                     l_returnflag DESC NULLS LAST) = 1)
+    WHERE amount > 0
+), per_customer AS (
+    SELECT o_custkey, count(*) AS n, sum(amount) AS total FROM claims GROUP BY o_custkey
+)
+SELECT CAST(o_orderkey AS VARCHAR) AS policy_id, CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_totalprice AS DOUBLE) AS premium,
+       coalesce(n, 0) AS total_claims, round(CAST(coalesce(total, 0) AS DOUBLE), 2) AS total_claim_amount,
+       CAST(least(100, 30 + 10 * coalesce(n, 0) + CASE WHEN total > 50000 THEN 40 WHEN total > 10000 THEN 20 ELSE 0 END) AS DOUBLE)
+           AS overall_risk_score
+FROM orders LEFT JOIN per_customer USING (o_custkey)
+""")
+def batch_run_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs, each with half of the files, the second on top of the first one's silver; all gold risk rows."""
+    lake = Lake(scratch_dir(spark, "batch-increments"))
+    raw = raw_entities(spark, sf_dir)
+    # Halves by the last digit of the policy, the customer or the agent.
+    keys = {"policies": "policy_id", "claims": "policy_id", "customers": "customer_id", "agents": "agent_id"}
+    for half, run in enumerate((RUN, NEXT_RUN)):
+        sources = {name: f"{lake.root}/files/{half}/{name}" for name in raw}
+        for name, rows in raw.items():
+            mine = F.crc32(F.col(keys[name]).cast("string")) % 2 == half
+            rows.where(mine).write.option("header", True).csv(sources[name])
+        run_batch(spark, lake, sources, run, incremental=True, buckets=4)
+    risk = lake.read(spark, "gold", "risk_features")
+    return risk.select(
+        "policy_id", "customer_id", "premium", F.col("total_claims").cast("long").alias("total_claims"),
+        F.round("total_claim_amount", 2).alias("total_claim_amount"), "overall_risk_score",
+    )
