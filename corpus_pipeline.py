@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.llm import decontaminate, lines, pieces, similar, toxicity
@@ -11,16 +11,24 @@ from smelter.llm.queries import PIECE_MODEL
 from smelter.session import ship_package
 
 
+def _set_apart(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its other columns than doc_id and text under names that no operator uses, and the way back."""
+    names = [c if c in ("doc_id", "text") else f"__source_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half."""
+    """Documents that score below one half; all columns stay, also one named ``toxicity``."""
     labels = table(spark, sf_dir, "labels")
     models = toxicity.train(docs.select("doc_id", "text"), labels)
-    return toxicity.scored(docs, models).where("toxicity < 0.5").select(docs.columns)
+    rows, back = _set_apart(docs)
+    return toxicity.scored(rows, models).where("toxicity < 0.5").select(back)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without lines that repeat; n_chars follows the text."""
-    kept = lines.drop_repeated_lines(docs).select(docs.columns)
+    """Every document, without lines that repeat; n_chars follows the text, all other columns stay."""
+    rows, back = _set_apart(docs)
+    kept = lines.drop_repeated_lines(rows).select(back)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -36,17 +44,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "node", row.alias("__row"))
     kept = groups.groupBy("component").agg(F.min(rank).alias("least")).select("least.__row")
     node = similar.node_of(whole_text())
-    rows = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), node))
-    return rows.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
+    apart, back = _set_apart(docs)
+    rows = apart.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), node))
+    return rows.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(back)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     leaks = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     keys = leaks.select(F.col("row_id").alias("leak_id"), F.col("row_hash").alias("leak_hash")).distinct()
-    rows = with_row_key(docs, "__row")
+    apart, back = _set_apart(docs)
+    rows = with_row_key(apart, "__row")
     same = F.col("__row_id").eqNullSafe(F.col("leak_id")) & (F.col("__row_hash") == F.col("leak_hash"))
-    return rows.join(keys, same, "left_anti").select(docs.columns)
+    return rows.join(keys, same, "left_anti").select(back)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
