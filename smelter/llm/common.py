@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of its own only where that is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``; a local master may do with one of its own where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="smelter-llm-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

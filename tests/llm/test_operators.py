@@ -544,6 +544,20 @@ def test_pipeline(spark):
 
 def test_pipeline_stages_on_odd_rows(spark, docs, empty):
     for table in (docs, empty):
-        for _, stage in corpus_pipeline.STAGES[1:]:
+        for _, stage in corpus_pipeline.STAGES:
             stage(spark, table, TABLES).collect()
     assert corpus_pipeline.drop_near_duplicates(spark, docs, TABLES).where("text like 'The quick%lazy%'").count() == 1
+
+
+def test_pipeline_stages_keep_clashing_columns(spark):
+    # Names that the stages' operators give to columns of their own.
+    clashing = ["toxicity", "lines", "removed_lines", "line_links", "__row", "__row_id", "__doc", "__later", "node", "a.b"]
+    words = "one plain line that stands in this document alone"
+    rows = [(i, f"{words} {i} {'abcdefgh'[i] * 40}", *[f"{c} {i}" for c in clashing]) for i in range(4)]
+    names = ["doc_id", "text", *clashing]
+    table = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, table, TABLES)
+        assert kept.columns == names
+        found = kept.collect()
+        assert found and all(r[c] == f"{c} {r['doc_id']}" for r in found for c in clashing)
