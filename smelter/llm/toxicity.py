@@ -5,7 +5,9 @@ letter of a word from up to four letters before it, by interpolated absolute
 discounting: raw counts for five letters, counts of different left neighbours for
 four and three.  Below that both share one model, two letters and one, counted over
 all documents, so that rare expressions tell the classes apart only by what the
-classes themselves have seen.  A text's evidence is the difference of the two
+classes themselves have seen.  Counts are of all documents, of every labelled one for
+the class models; each order's go into a table of fixed size by hash, so that what
+tasks receive is bounded however much is counted.  A text's evidence is the difference of the two
 log-likelihoods per letter, over the whole text and over its strongest windows;
 a logistic curve fitted to labelled texts that the models have not seen turns it
 into a score.
@@ -21,13 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smelter.llm.common import whole_text
+from smelter.llm.common import saved, whole_text
 
 ORDER = 5
 SHARED = 2  # orders that both classes share
 DISCOUNT = 0.75
-# Labelled documents used at most, the first by hash: for the models, for the curve.
-MODEL_DOCS, CURVE_DOCS = 12_000, 6_000
+# Labelled documents the curve is fitted to at most, the first by hash.
+CURVE_DOCS = 6_000
+# Cells, as powers of two, of the tables of one class and order, and of the table of single letters.
+# Grams that share a cell share their counts; six times three tables of 4 MB go to a task.
+GRAM_BITS, LETTER_BITS = 20, 16
+BOTH = 2  # stands for both classes, beside 0 and 1
 # Words whose evidence a task keeps at hand.
 CACHE_WORDS = 200_000
 # Windows, in words, whose strongest average counts beside the whole text.
@@ -35,114 +41,99 @@ WINDOWS = (1, 4, 16, 64)
 _EDGE = 32  # stands before and after every word
 
 
-def _symbol_table() -> np.ndarray:
-    codes = np.arange(1 << 16)
-    return np.where(codes < 128, codes, 128 + codes % 127).astype(np.uint8)
+def _word_symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the words with an edge before each and after the last, and where each word's edge stands."""
+    joined = _code_points(" " + " ".join(words) + " ")
+    starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
+    return joined, starts
 
 
-_SYMBOLS = _symbol_table()
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
 
 
-def symbols(text: str) -> np.ndarray:
-    """Each code point as one of 256 symbols: ASCII as it is, others folded."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    return _SYMBOLS[codes & 0xFFFF]
+def _hashes(joined: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hashes of the ``length`` symbols that end at each of ``ends``."""
+    h = np.full(len(ends), 0x9E3779B97F4A7C15 + length, np.uint64)
+    for k in range(length - 1, -1, -1):
+        h = (h ^ joined[ends - k]) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+    return h * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _word_symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of the words with an edge before each and after the last, and where each word's edge stands."""
-    joined = symbols(" " + " ".join(words) + " ")
-    starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
-    return joined, starts
+def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _grams(joined: np.ndarray, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the ``order`` symbols that end at each place inside one word, and the places."""
+def _cell_of(column: str, bits: int) -> Column:
+    return F.shiftrightunsigned(column, 64 - bits)
+
+
+def _places(joined: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
+    """Where ``order`` symbols end that lie inside one word, its edges included."""
     places = np.arange(order - 1, len(joined))
     at_edge = np.zeros(len(joined) + 1, np.int64)
     at_edge[starts + 1] = 1
     word = np.cumsum(at_edge)[: len(joined)]  # an edge counts to the word before it; as a start see below
     begin = places - order + 1
     inside = (word[places] == word[begin]) | (np.isin(begin, starts) & (word[places] == word[begin] + 1))
-    places = places[inside & (places > 0)]
-    keys = np.zeros(len(places), np.int64)
-    for k in range(order):
-        keys = keys << 8 | joined[places - order + 1 + k]
-    return keys, places
-
-
-def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, at = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(at, weights=weights, minlength=len(unique)).astype(np.float64)
+    return places[inside & (places > 0)]
 
 
 class Level:
-    """Discounted counts of one order: of grams, and of what follows their contexts."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        self.keys, self.counts = keys, counts
-        self.contexts, at = np.unique(keys >> 8, return_inverse=True)
-        self.totals = np.bincount(at, weights=counts, minlength=len(self.contexts))
-        self.kinds = np.bincount(at, minlength=len(self.contexts)).astype(np.float64)
-
-    @staticmethod
-    def _look(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.full(len(wanted), -1)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, at, -1)
-
-    def probability(self, wanted: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        context, gram = self._look(self.contexts, wanted >> 8), self._look(self.keys, wanted)
-        known = context >= 0
-        total = np.where(known, self.totals[context] if len(self.totals) else 1.0, 1.0)
-        kinds = np.where(known, self.kinds[context] if len(self.kinds) else 0.0, 0.0)
-        count = np.where(gram >= 0, self.counts[gram] if len(self.counts) else 0.0, 0.0)
-        mixed = np.maximum(count - DISCOUNT, 0.0) / total + DISCOUNT * kinds / total * lower
+    """Discounted counts of one order: of grams, and of what follows their contexts, by cell."""
+
+    def __init__(self, grams: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...]):
+        """``grams``: cells and counts; ``contexts``: cells, counts, and how many grams each begins."""
+        self.grams, self.contexts = grams, contexts
+        self.counts = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "counts": None}
+
+    def _spread(self) -> None:
+        self.counts, self.totals, self.kinds = (np.zeros(1 << GRAM_BITS, np.float32) for _ in range(3))
+        self.counts[self.grams[0]] = self.grams[1]
+        self.totals[self.contexts[0]], self.kinds[self.contexts[0]] = self.contexts[1:]
+
+    def probability(self, gram: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        if self.counts is None:
+            self._spread()
+        known = self.totals[context] > 0
+        total = np.where(known, self.totals[context], 1.0).astype(np.float64)
+        count = np.minimum(self.counts[gram], total)  # more only where a frequent gram shares the cell
+        mixed = np.maximum(count - DISCOUNT, 0.0) / total + DISCOUNT * self.kinds[context] / total * lower
         return np.where(known, mixed, lower)
 
 
 class Models:
-    """The two class models and the curve; small arrays that every task receives."""
-
-    def __init__(self, shared: np.ndarray, grams: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]):
-        """``shared``: counts of symbol pairs; ``grams``: per class and order, sorted keys and their counts."""
-        single = shared.sum(axis=0) + 0.5
-        self.single = single / single.sum()
-        first, second = np.nonzero(shared)
-        self.pair = Level((first.astype(np.int64) << 8) | second, shared[first, second].astype(np.float64))
-        self.levels = {c: self._levels(g) for c, g in grams.items()}
+    """The two class models and the curve; tables of bounded size that every task receives."""
+
+    def __init__(self, single: np.ndarray, pair: Level, levels: dict[int, dict[int, Level]]):
+        """``single``: counts of letters by cell; ``levels``: by class and order."""
+        single = single + 0.01
+        self.single, self.pair, self.levels = single / single.sum(), pair, levels
         self.mean, self.scale = np.zeros(len(WINDOWS) + 1), np.ones(len(WINDOWS) + 1)
         self.weights = np.zeros(len(WINDOWS) + 2)
 
-    @staticmethod
-    def _levels(counted: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, Level]:
-        found, higher = {}, None
-        for order in range(ORDER, SHARED, -1):
-            grams, counts = counted[order]
-            if higher is not None and len(higher):  # different left neighbours, but what starts a word has none
-                tails, kinds = _sums(higher & ((1 << 8 * order) - 1), np.ones(len(higher)))
-                at = np.minimum(np.searchsorted(tails, grams), len(tails) - 1)
-                opening = (grams >> 8 * (order - 1)) == _EDGE
-                counts = np.where(opening | (tails[at] != grams), counts, kinds[at])
-            found[order] = Level(grams, counts)
-            higher = grams
-        return found
-
     def evidence(self, words: list[str]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of each word."""
         if not words:
             return np.zeros(0)
         joined, starts = _word_symbols(words)
-        shared = self.single[joined]
-        keys, places = _grams(joined, starts, 2)
-        shared[places] = self.pair.probability(keys, shared[places])
+        every = np.arange(len(joined))
+        shared = self.single[_cells(_hashes(joined, every, 1), LETTER_BITS)]
+        places = {order: _places(joined, starts, order) for order in range(SHARED, ORDER + 1)}
+        cells = {
+            order: (_cells(_hashes(joined, at, order), GRAM_BITS), _cells(_hashes(joined, at - 1, order - 1), GRAM_BITS))
+            for order, at in places.items()
+        }
+        shared[places[SHARED]] = self.pair.probability(*cells[SHARED], shared[places[SHARED]])
         logs = {}
         for c, levels in self.levels.items():
             p = shared.copy()
             for order in range(SHARED + 1, ORDER + 1):
-                keys, places = _grams(joined, starts, order)
-                p[places] = levels[order].probability(keys, p[places])
+                p[places[order]] = levels[order].probability(*cells[order], p[places[order]])
             logs[c] = np.log(np.maximum(p, 1e-12))
         difference = logs[1] - logs[0]
         difference[0] = 0.0
@@ -196,21 +187,36 @@ class Reader:
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of symbol pairs in a task's texts, white space and ends being edges."""
-    counts = np.zeros(1 << 16, np.int64)
+    """(gram, context, letter, n) of the symbol pairs in a task's texts, white space and ends being edges."""
+    plain = np.zeros(1 << 14, np.int64)  # pairs of two ASCII symbols
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for begin in range(0, len(texts), 500):
-            s = symbols(" " + " ".join(texts[begin : begin + 500]).lower() + " ")
+            s = _code_points(" " + " ".join(texts[begin : begin + 500]).lower() + " ").astype(np.int64)
             s[(s >= 9) & (s <= 13)] = _EDGE
-            counts += np.bincount(s[:-1].astype(np.int64) << 8 | s[1:], minlength=1 << 16)
-    counts[_EDGE << 8 | _EDGE] = 0
-    keys = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[keys])], ["key", "n"])
+            first, second = s[:-1], s[1:]
+            ascii_pair = (first | second) < 128
+            plain += np.bincount(first[ascii_pair] << 7 | second[ascii_pair], minlength=1 << 14)
+            keys, n = np.unique(first[~ascii_pair] << 21 | second[~ascii_pair], return_counts=True)
+            yield _pair_rows(keys >> 21, keys & ((1 << 21) - 1), n)
+    plain[_EDGE << 7 | _EDGE] = 0
+    keys = np.flatnonzero(plain)
+    yield _pair_rows(keys >> 7, keys & 127, plain[keys])
+
+
+def _pair_rows(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    both = np.column_stack([first, second]).astype(np.uint64).ravel()
+    ends = np.arange(1, len(both), 2)
+    hashed = _hashes(both, ends, 2), _hashes(both, ends - 1, 1), _hashes(both, ends, 1)
+    columns = [*(pa.array(h.view(np.int64)) for h in hashed), pa.array(n.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, ["gram", "context", "letter", "n"])
+
+
+_GRAM_ROW = "toxic int, size int, gram long, context long, tail long, opening boolean, n long"
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, size, key, n) from counted words, for every order that the classes do not share."""
+    """The grams of counted words, for every order that the classes do not share; ``opening`` ones begin a word."""
     for batch in batches:
         toxic = batch.column(0).to_numpy(zero_copy_only=False)
         for c in (0, 1):
@@ -221,11 +227,17 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             joined, starts = _word_symbols(words)
             owner = np.searchsorted(starts, np.arange(len(joined)), side="left") - 1  # the word a place ends in
             for order in range(SHARED + 1, ORDER + 1):
-                keys, places = _grams(joined, starts, order)
-                grams, n = _sums(keys, counts[owner[places]])
-                same = [np.full(len(grams), x, np.int32) for x in (c, order)]
-                columns = [*map(pa.array, same), pa.array(grams), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["toxic", "size", "key", "n"])
+                at = _places(joined, starts, order)
+                grams, first, which = np.unique(_hashes(joined, at, order), return_index=True, return_inverse=True)
+                n = np.bincount(which, weights=counts[owner[at]], minlength=len(grams)).astype(np.int64)
+                at = at[first]
+                columns = [
+                    *(pa.array(np.full(len(grams), x, np.int32)) for x in (c, order)),
+                    *(pa.array(h.view(np.int64)) for h in (grams, _hashes(joined, at - 1, order - 1), _hashes(joined, at, order - 1))),
+                    pa.array(joined[at - order + 1] == _EDGE),
+                    pa.array(n),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["toxic", "size", "gram", "context", "tail", "opening", "n"])
 
 
 def remainder(doc_id: Column) -> Column:
@@ -233,49 +245,75 @@ def remainder(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(5))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, parts: list[int], limit: int) -> DataFrame:
-    """(toxic, text) of at most ``limit`` labelled documents."""
+def _labels(labels: DataFrame, parts: list[int]) -> DataFrame:
+    """(label_id, toxic) of the labelled ids with these remainders."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    some = known.where(remainder(F.col("doc_id")).isin(parts)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    chosen = F.broadcast(some.select(F.col("doc_id").alias("__id"), (F.col("toxic") > 0).cast("int").alias("toxic")))
-    return docs.join(chosen, F.col("doc_id").cast("long") == F.col("__id")).select("toxic", whole_text().alias("text"))
+    some = known.where(remainder(F.col("doc_id")).isin(parts))
+    return some.select(F.col("doc_id").alias("label_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+
+
+def _labelled(docs: DataFrame, chosen: DataFrame, parts: list[int]) -> DataFrame:
+    """(toxic, text) of the documents with a label."""
+    some = docs.where(remainder(F.col("doc_id")).isin(parts))
+    return some.join(chosen, F.col("doc_id").cast("long") == F.col("label_id")).select("toxic", whole_text().alias("text"))
+
+
+def _class_counts(words: DataFrame) -> DataFrame:
+    """(toxic, size, gram, context, n) from labelled texts: n are raw counts for the longest
+    grams, and for shorter ones counts of different left neighbours; what starts a word has none."""
+    split = words.select("toxic", F.explode_outer(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
+    counted = split.groupBy("toxic", "word").agg(F.count(F.lit(1)).alias("n")).mapInArrow(_gram_counts, _GRAM_ROW)
+    grams = counted.groupBy("toxic", "size", "gram").agg(
+        F.first("context").alias("context"), F.first("tail").alias("tail"), F.first("opening").alias("opening"), F.sum("n").alias("n")
+    )
+    grams = saved(grams, "grams")
+    left = grams.groupBy("toxic", (F.col("size") - 1).alias("size"), F.col("tail").alias("gram")).agg(F.count(F.lit(1)).alias("left"))
+    raw = (F.col("size") == ORDER) | F.col("opening") | F.col("left").isNull()
+    n = F.when(raw, F.col("n")).otherwise(F.col("left")).alias("n")
+    return grams.join(left, ["toxic", "size", "gram"], "left").select("toxic", "size", "gram", "context", n)
+
+
+def _levels(counts: DataFrame) -> dict[tuple[int, int], Level]:
+    """Tables by class and order from (toxic, size, gram, context, n); the driver gets cells, never grams."""
+    n = F.sum("n").cast("double").alias("n")
+    by = lambda c: counts.groupBy("toxic", "size", _cell_of(c, GRAM_BITS).alias("cell"))
+    grams, contexts = by("gram").agg(n).toPandas(), by("context").agg(n, F.count(F.lit(1)).alias("kinds")).toPandas()
+    parts = {key: (part["cell"].to_numpy(np.int32), part["n"].to_numpy(np.float32)) for key, part in grams.groupby(["toxic", "size"])}
+    found = {}
+    for key, part in contexts.groupby(["toxic", "size"]):
+        found[key] = Level(parts[key], tuple(part[c].to_numpy(t) for c, t in zip(("cell", "n", "kinds"), ("i4", "f4", "f4"))))
+    return found
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Models | None:
     """Models from documents (doc_id, text) and labels (doc_id, toxic); None if they show one class or none.
 
-    Ids with remainder 1, 2 and 3 teach the models, those with 4 the curve; null
-    labels are left out, and of an id labelled twice the higher label holds.  The
-    shared counts come from all documents.
+    All ids with remainder 1, 2 and 3 teach the models, at most 6,000 of those with 4 the
+    curve; null labels are left out, and of an id labelled twice the higher label holds.
+    The shared counts come from all documents.
     """
-    words = _labelled(docs, labels, [1, 2, 3], MODEL_DOCS)
-    split = words.select("toxic", F.explode_outer(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
-    counted = split.groupBy("toxic", "word").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.mapInArrow(_gram_counts, "toxic int, size int, key long, n long")
-    grams = counted.groupBy("toxic", "size", "key").agg(F.sum("n").alias("n")).toPandas().sort_values("key")
-    if grams["toxic"].nunique() < 2:
+    nothing = Level(*((np.zeros(0, np.int32), *[np.zeros(0, np.float32)] * k) for k in (1, 2)))
+    found = _levels(_class_counts(_labelled(docs, _labels(labels, [1, 2, 3]), [1, 2, 3])))
+    if len({c for c, _ in found}) < 2:
         return None
-    found = {
-        c: {
-            size: (part["key"].to_numpy(np.int64), part["n"].to_numpy(np.float64))
-            for size in range(SHARED + 1, ORDER + 1)
-            for part in [grams[(grams["toxic"] == c) & (grams["size"] == size)]]
-        }
-        for c in (0, 1)
-    }
-    pairs = docs.select(whole_text().alias("text")).mapInArrow(_pair_counts, "key long, n long")
-    sums = pairs.groupBy("key").agg(F.sum("n").alias("n")).toPandas()
-    shared = np.zeros(1 << 16)
-    shared[sums["key"].to_numpy(np.int64)] = sums["n"].to_numpy(np.float64)
-    models = Models(shared.reshape(256, 256), found)
+    pairs = docs.select(whole_text().alias("text")).mapInArrow(_pair_counts, "gram long, context long, letter long, n long")
+    pairs = saved(pairs.groupBy("gram", "context", "letter").agg(F.sum("n").alias("n")), "pairs")
+    shared = _levels(pairs.select(F.lit(BOTH).alias("toxic"), F.lit(SHARED).alias("size"), "gram", "context", "n"))
+    letters = pairs.groupBy(_cell_of("letter", LETTER_BITS).alias("cell")).agg(F.sum("n").cast("double").alias("n")).toPandas()
+    single = np.zeros(1 << LETTER_BITS)
+    single[letters["cell"].to_numpy(np.int64)] = letters["n"].to_numpy()
+    levels = {c: {size: found.get((c, size), nothing) for size in range(SHARED + 1, ORDER + 1)} for c in (0, 1)}
+    models = Models(single, shared[BOTH, SHARED], levels)
+    sent = docs.sparkSession.sparkContext.broadcast(models)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(models)
+        reader = Reader(sent.value)
         for batch in batches:
             rows = [f.tolist() for f in reader.features(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "features"])
 
-    curve = _labelled(docs, labels, [4], CURVE_DOCS).mapInArrow(read, "toxic int, features array<double>").toPandas()
+    some = F.broadcast(_labels(labels, [4]).orderBy(F.xxhash64("label_id"), "label_id").limit(CURVE_DOCS))
+    curve = _labelled(docs, some, [4]).mapInArrow(read, "toxic int, features array<double>").toPandas()
     if curve["toxic"].nunique() < 2:
         return None
     models.fit_curve(np.array(curve["features"].tolist()), curve["toxic"].to_numpy(np.float64))
