@@ -254,7 +254,7 @@ def _labels(labels: DataFrame, parts: list[int]) -> DataFrame:
 
 def _labelled(docs: DataFrame, chosen: DataFrame, parts: list[int]) -> DataFrame:
     """(toxic, text) of the documents with a label."""
-    some = docs.where(remainder(F.col("doc_id")).isin(parts))
+    some = docs.select("doc_id", "text").where(remainder(F.col("doc_id")).isin(parts))
     return some.join(chosen, F.col("doc_id").cast("long") == F.col("label_id")).select("toxic", whole_text().alias("text"))
 
 

@@ -72,7 +72,7 @@ def _by_hand(rows, labels):
 @pytest.fixture(scope="module")
 def trained(spark):
     rows, labels = _corpus()
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 as toxic", "doc_id as label_id", "1 as n")
     return toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int")), _by_hand(rows, labels)
 
 
