@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smelter.llm.common import saved, whole_text
+from smelter.llm.common import saved, small_batches, whole_text
 
 ORDER = 5
 SHARED = 2  # orders that both classes share
@@ -34,8 +34,11 @@ CURVE_DOCS = 6_000
 # Grams that share a cell share their counts; six times three tables of 4 MB go to a task.
 GRAM_BITS, LETTER_BITS = 20, 16
 BOTH = 2  # stands for both classes, beside 0 and 1
-# Words whose evidence a task keeps at hand.
-CACHE_WORDS = 200_000
+# Words whose evidence a task keeps at hand, and words and texts it works on at once.
+CACHE_WORDS = 100_000
+WORDS_AT_ONCE, TEXTS_AT_ONCE = 8_192, 100
+# Cells, as a power of two, of the table that tells which ids may have a label; 8 MB go to a task.
+LABEL_BITS = 26
 # Windows, in words, whose strongest average counts beside the whole text.
 WINDOWS = (1, 4, 16, 64)
 _EDGE = 32  # stands before and after every word
@@ -81,24 +84,33 @@ def _places(joined: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
 
 
 class Level:
-    """Discounted counts of one order: of grams, and of what follows their contexts, by cell."""
+    """Discounted counts of one order: of grams, and of what follows their contexts, by cell.
+
+    Held and sent as the cells that are filled, and from the first question on as whole tables instead.
+    """
 
     def __init__(self, grams: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...]):
         """``grams``: cells and counts; ``contexts``: cells, counts, and how many grams each begins."""
-        self.grams, self.contexts = grams, contexts
-        self.counts = None
+        self.filled, self.counts = (grams, contexts), None
+
+    def __getstate__(self) -> tuple:
+        if self.filled is not None:
+            return self.filled
+        grams, contexts = (np.flatnonzero(t).astype(np.int32) for t in (self.counts, self.totals))
+        return (grams, self.counts[grams]), (contexts, self.totals[contexts], self.kinds[contexts])
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "counts": None}
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
 
-    def _spread(self) -> None:
-        self.counts, self.totals, self.kinds = (np.zeros(1 << GRAM_BITS, np.float32) for _ in range(3))
-        self.counts[self.grams[0]] = self.grams[1]
-        self.totals[self.contexts[0]], self.kinds[self.contexts[0]] = self.contexts[1:]
+    def spread(self) -> None:
+        if self.filled is not None:
+            self.counts, self.totals, self.kinds = (np.zeros(1 << GRAM_BITS, np.float32) for _ in range(3))
+            (grams, counts), (contexts, totals, kinds) = self.filled
+            self.counts[grams], self.totals[contexts], self.kinds[contexts] = counts, totals, kinds
+            self.filled = None
 
     def probability(self, gram: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        if self.counts is None:
-            self._spread()
+        self.spread()
         known = self.totals[context] > 0
         total = np.where(known, self.totals[context], 1.0).astype(np.float64)
         count = np.minimum(self.counts[gram], total)  # more only where a frequent gram shares the cell
@@ -173,13 +185,16 @@ class Reader:
     def __init__(self, models: Models):
         self.models, self.cache = models, {}
 
-    def features(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for begin in range(0, len(texts), 500):
-            split = [t.lower().split() for t in texts[begin : begin + 500]]
+    def features(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Features of each text; null counts as empty."""
+        for begin in range(0, len(texts), TEXTS_AT_ONCE):
+            split = [(t or "").lower().split() for t in texts.slice(begin, TEXTS_AT_ONCE).to_pylist()]
             if len(self.cache) > CACHE_WORDS:
                 self.cache = {}
             fresh = list({w for words in split for w in words if w not in self.cache})
-            self.cache.update(zip(fresh, self.models.evidence(fresh).tolist()))
+            for first in range(0, len(fresh), WORDS_AT_ONCE):
+                some = fresh[first : first + WORDS_AT_ONCE]
+                self.cache.update(zip(some, self.models.evidence(some).tolist()))
             for words in split:
                 evidence = np.fromiter(map(self.cache.__getitem__, words), np.float64, len(words))
                 lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
@@ -190,9 +205,9 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gram, context, letter, n) of the symbol pairs in a task's texts, white space and ends being edges."""
     plain = np.zeros(1 << 14, np.int64)  # pairs of two ASCII symbols
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for begin in range(0, len(texts), 500):
-            s = _code_points(" " + " ".join(texts[begin : begin + 500]).lower() + " ").astype(np.int64)
+        for begin in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            texts = batch.column(0).slice(begin, TEXTS_AT_ONCE).to_pylist()
+            s = _code_points(" " + " ".join(texts).lower() + " ").astype(np.int64)
             s[(s >= 9) & (s <= 13)] = _EDGE
             first, second = s[:-1], s[1:]
             ascii_pair = (first | second) < 128
@@ -258,6 +273,55 @@ def _labelled(docs: DataFrame, chosen: DataFrame, parts: list[int]) -> DataFrame
     return some.join(chosen, F.col("doc_id").cast("long") == F.col("label_id")).select("toxic", whole_text().alias("text"))
 
 
+def _label_cell(column: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.col(column).cast("long")), 64 - LABEL_BITS)
+
+
+def _label_bits(chosen: DataFrame) -> np.ndarray:
+    """A bit per cell, set if an id of ``chosen`` falls into it; the driver gets 64 bits a row, 2^20 rows at most."""
+    cells = chosen.select(_label_cell("label_id").alias("cell"))
+    bit = F.expr("shiftleft(1L, cast(cell & 63 as int))")
+    words = cells.groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (LABEL_BITS - 6), np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table
+
+
+def _packed_labelled(docs: DataFrame, chosen: DataFrame, parts: list[int]) -> DataFrame:
+    """:func:`_labelled` where texts are shuffled: without those that cannot have a label, and as zstd.
+
+    The bits let every labelled id through, and a few others, which the join leaves out.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(_label_bits(chosen))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=1)
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            batch = batch.filter(pa.array((sent.value[cells >> 6] >> (cells & 63)) & 1 == 1))
+            texts = [t.as_buffer() for t in batch.column("text")]
+            sizes = pa.array([t.size for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), sizes, pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())],
+                ["id", "size", "packed"],
+            )
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            for begin in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(begin, TEXTS_AT_ONCE)
+                sizes, packed = some.column("size").to_pylist(), some.column("packed")
+                texts = [codec.decompress(t.as_buffer(), n, asbytes=True) if n else b"" for n, t in zip(sizes, packed)]
+                yield pa.RecordBatch.from_arrays([some.column("toxic"), pa.array(texts, pa.binary())], ["toxic", "text"])
+
+    some = docs.select(F.col("doc_id").cast("long").alias("id"), "doc_id", whole_text().alias("text"))
+    some = some.where(remainder(F.col("doc_id")).isin(parts) & F.col("id").isNotNull())
+    packed = some.select("id", _label_cell("id").alias("cell"), "text").mapInArrow(pack, "id long, size long, packed binary")
+    joined = packed.join(chosen, F.col("id") == F.col("label_id")).select("toxic", "size", "packed")
+    return joined.mapInArrow(unpack, "toxic int, text binary").select("toxic", F.col("text").cast("string").alias("text"))
+
+
 def _class_counts(words: DataFrame) -> DataFrame:
     """(toxic, size, gram, context, n) from labelled texts: n are raw counts for the longest
     grams, and for shorter ones counts of different left neighbours; what starts a word has none."""
@@ -275,14 +339,17 @@ def _class_counts(words: DataFrame) -> DataFrame:
 
 def _levels(counts: DataFrame) -> dict[tuple[int, int], Level]:
     """Tables by class and order from (toxic, size, gram, context, n); the driver gets cells, never grams."""
-    n = F.sum("n").cast("double").alias("n")
-    by = lambda c: counts.groupBy("toxic", "size", _cell_of(c, GRAM_BITS).alias("cell"))
-    grams, contexts = by("gram").agg(n).toPandas(), by("context").agg(n, F.count(F.lit(1)).alias("kinds")).toPandas()
-    parts = {key: (part["cell"].to_numpy(np.int32), part["n"].to_numpy(np.float32)) for key, part in grams.groupby(["toxic", "size"])}
-    found = {}
-    for key, part in contexts.groupby(["toxic", "size"]):
-        found[key] = Level(parts[key], tuple(part[c].to_numpy(t) for c, t in zip(("cell", "n", "kinds"), ("i4", "f4", "f4"))))
-    return found
+    n = F.sum("n").cast("float").alias("n")
+
+    def by(column: str, *sums: Column) -> dict[tuple[int, int], tuple[np.ndarray, ...]]:
+        key = [F.col("toxic").cast("byte").alias("toxic"), F.col("size").cast("byte").alias("size")]
+        cells = counts.groupBy(*key, _cell_of(column, GRAM_BITS).cast("int").alias("cell")).agg(*sums).toArrow()
+        toxic, size, *rest = (c.to_numpy() for c in cells.columns)
+        keys = toxic.astype(np.int16) << 8 | size
+        return {(int(k) >> 8, int(k) & 255): tuple(c[keys == k] for c in rest) for k in np.unique(keys)}
+
+    grams, contexts = by("gram", n), by("context", n, F.count(F.lit(1)).cast("float").alias("kinds"))
+    return {key: Level(grams[key], part) for key, part in contexts.items()}
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Models | None:
@@ -292,8 +359,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Models | None:
     curve; null labels are left out, and of an id labelled twice the higher label holds.
     The shared counts come from all documents.
     """
+    small_batches(docs.sparkSession)
     nothing = Level(*((np.zeros(0, np.int32), *[np.zeros(0, np.float32)] * k) for k in (1, 2)))
-    found = _levels(_class_counts(_labelled(docs, _labels(labels, [1, 2, 3]), [1, 2, 3])))
+    teaching = saved(_labels(labels, [1, 2, 3]), "labels")
+    found = _levels(_class_counts(_packed_labelled(docs, teaching, [1, 2, 3])))
     if len({c for c, _ in found}) < 2:
         return None
     pairs = docs.select(whole_text().alias("text")).mapInArrow(_pair_counts, "gram long, context long, letter long, n long")
@@ -309,7 +378,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Models | None:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(sent.value)
         for batch in batches:
-            rows = [f.tolist() for f in reader.features(batch.column(1).to_pylist())]
+            rows = [f.tolist() for f in reader.features(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "features"])
 
     some = F.broadcast(_labels(labels, [4]).orderBy(F.xxhash64("label_id"), "label_id").limit(CURVE_DOCS))
@@ -326,6 +395,7 @@ def scored(docs: DataFrame, models: Models | None) -> DataFrame:
     Null and empty texts have no evidence and get the curve's value for none.  A
     column named ``toxicity`` is replaced; others pass through.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("toxicity")
     if models is None:
         return docs.withColumn("toxicity", F.lit(0.0))
@@ -335,8 +405,7 @@ def scored(docs: DataFrame, models: Models | None) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            scores = [shared.value.score(f) for f in reader.features(texts)]
+            scores = [shared.value.score(f) for f in reader.features(batch.column(at))]
             columns = [*batch.columns, pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "toxicity"])
 
