@@ -748,7 +748,7 @@ def medallion_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_entities(spark, sf_dir)
     sources = {name: lake.path("files", name) for name in raw}
     with ThreadPoolExecutor(len(raw)) as pool:
-        list(pool.map(lambda name: raw[name].write.option("header", True).csv(sources[name]), raw))
+        list(pool.map(lambda name: raw[name].write.option("header", True).csv(sources[name], compression="gzip"), raw))
     run_batch(spark, lake, sources, RUN)
 
     def totals(layer: str, name: str, items, amount) -> DataFrame:
