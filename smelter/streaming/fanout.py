@@ -31,8 +31,8 @@ def start_fan_out(
 ) -> StreamingQuery:
     """Store each event of ``stream`` (JSON in ``value``) in both tables.
 
-    The source is read once: the typed table, and the hourly groups if wanted,
-    are made from the stored raw batch, so a lost executor does not send the job
+    The source is read once: the typed table is made from the stored raw batch, and the
+    hourly groups, if wanted, from the stored typed one, so a lost executor does not send the job
     back to the source.  Every write replaces its own batch and events carry the
     instant of their batch, so playing a batch again changes nothing.
     """
@@ -50,7 +50,7 @@ def start_fan_out(
         else:
             lake.write_batch(typed, TYPED_LAYER, table, batch_id)
         if hourly:
-            store_partials(typed, lake, batch_id)
+            store_partials(lake.read_batch(spark, TYPED_LAYER, table, batch_id, typed.schema), lake, batch_id)
 
     stream = stream.withColumn(_TAKEN, F.current_timestamp())  # in a stream: when the batch was planned, also if replayed
     return start(stream.writeStream.foreachBatch(store), checkpoint, every)

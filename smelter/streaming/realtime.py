@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +22,18 @@ _PART = "__part"
 _RECEIVED, _KEPT = "claims_received", "claims_kept"
 
 
+def _once_per_batch(at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of the rows of one Arrow batch that agree in column ``at``, the first."""
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column(at).dictionary_encode().indices.fill_null(-1).to_numpy()
+            _, first = np.unique(codes, return_index=True)
+            yield batch if len(first) == len(codes) else batch.take(pa.array(np.sort(first)))
+
+    return reduce
+
+
 def typed_claims(
     events: DataFrame,
     contract: Contract = REALTIME_CLAIMS,
@@ -46,7 +62,9 @@ def typed_claims(
         subset = list(columns)
         return df.dropDuplicatesWithinWatermark(subset) if lateness else df.dropDuplicates(subset)
 
-    if spread:
+    if spread and not lateness:
+        valid = valid.mapInArrow(_once_per_batch(valid.columns.index(key)), valid.schema)
+    elif spread:
         part = F.pmod(F.spark_partition_id(), F.lit(spread))
         valid = first_of(valid.withColumn(_PART, part), key, _PART).drop(_PART)
     once = first_of(valid, key).observe(_KEPT, F.count(F.lit(1)).alias("n"))
