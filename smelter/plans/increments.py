@@ -89,13 +89,13 @@ def clean_new(
         lake.write_batch(new, "silver", name + NEW, run_id, [BUCKET])
         touched = sorted(int(b) for b in lake.partition_values(spark, lake.batch_path("silver", name + NEW, run_id), BUCKET))
     if touched:
-        kept = lake.read_folders(spark, "silver", name + NEW, [f"{BATCH}={run_id}"])
+        kept = lake.read_folders(spark, "silver", name + NEW, [f"{BATCH}={run_id}"]).drop(BATCH)
         older = [f"{BATCH}={owners[b]}/{BUCKET}={b}" for b in touched if b in owners]
         if older:
-            kept = lake.read_folders(spark, "silver", name + NEWEST, older).unionByName(kept, allowMissingColumns=True)
-        lake.write_batch(
-            latest_per_key(kept.drop(BATCH), [BUCKET, entity.key], copies=COPIES), "silver", name + NEWEST, run_id, [BUCKET]
-        )
+            known = lake.read_folders(spark, "silver", name + NEWEST, older).drop(BATCH)
+            kept = latest_per_key(known.unionByName(kept, allowMissingColumns=True), [BUCKET, entity.key], copies=COPIES)
+        # Rows that meet no older ones are one per key already, in folders of their buckets, and need no shuffle.
+        lake.write_batch(kept, "silver", name + NEWEST, run_id, [BUCKET], gather=bool(older))
         owners = {**owners, **dict.fromkeys(touched, run_id)}
     bucketed = bool(lake.partition_values(spark, lake.path("silver", name), BUCKET))
     rewritten = touched if bucketed and not everything else sorted(owners)
