@@ -11,7 +11,7 @@ def spark():
         "smelter-tests",
         master="local[8]",
         shuffle_partitions=8,
-        extra={"spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        extra={"spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.sql.maxMetadataStringLength": "2000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
