@@ -31,7 +31,7 @@ DISCOUNT = 0.75
 # Labelled documents the curve is fitted to at most, the first by hash.
 CURVE_DOCS = 6_000
 # Cells, as powers of two, of the tables of one class and order, and of the table of single letters.
-# Grams that share a cell share their counts; six times three tables of 4 MB go to a task.
+# Grams that share a cell share their counts; a task holds seven times three tables of 4 MB at most.
 GRAM_BITS, LETTER_BITS = 20, 16
 BOTH = 2  # stands for both classes, beside 0 and 1
 # Words whose evidence a task keeps at hand, and words and texts it works on at once.
@@ -83,15 +83,24 @@ def _places(joined: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
     return places[inside & (places > 0)]
 
 
+def _marks(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bit for each of the cells, in words of 64, and how many cells there are up to the end of each word."""
+    bits = np.zeros(1 << (GRAM_BITS - 6), np.uint64)
+    np.bitwise_or.at(bits, cells >> 6, np.uint64(1) << (cells & 63).astype(np.uint64))
+    return bits, np.cumsum(np.bitwise_count(bits), dtype=np.int32)
+
+
 class Level:
     """Discounted counts of one order: of grams, and of what follows their contexts, by cell.
 
-    Held and sent as the cells that are filled, and from the first question on as whole tables instead.
+    Held and sent as the cells that are filled; once these would take as much, as whole tables instead.
     """
 
     def __init__(self, grams: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...]):
         """``grams``: cells and counts; ``contexts``: cells, counts, and how many grams each begins."""
-        self.filled, self.counts = (grams, contexts), None
+        orders = (np.argsort(part[0]) for part in (grams, contexts))
+        self.filled = tuple(tuple(a[order] for a in part) for part, order in zip((grams, contexts), orders))
+        self.marks, self.counts = None, None
 
     def __getstate__(self) -> tuple:
         if self.filled is not None:
@@ -107,14 +116,37 @@ class Level:
             self.counts, self.totals, self.kinds = (np.zeros(1 << GRAM_BITS, np.float32) for _ in range(3))
             (grams, counts), (contexts, totals, kinds) = self.filled
             self.counts[grams], self.totals[contexts], self.kinds[contexts] = counts, totals, kinds
-            self.filled = None
+            self.filled = self.marks = None
+
+    def _numbers(self, part: int, asked: np.ndarray) -> list[np.ndarray]:
+        """What the filled cells hold at those asked for, 0 where they are not filled."""
+        bits, upto = self.marks[part]
+        word, bit = asked >> 6, np.uint64(1) << (asked & 63).astype(np.uint64)
+        near = bits[word]
+        known = (near & bit) != 0
+        place = (upto[word] - np.bitwise_count(near & ~(bit - np.uint64(1))))[known]
+        found = [np.zeros(len(asked), np.float32) for _ in self.filled[part][1:]]
+        for numbers, held in zip(found, self.filled[part][1:]):
+            numbers[known] = held[place]
+        return found
+
+    def numbers(self, gram: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of grams, and totals and kinds of contexts, by cell."""
+        if self.filled is not None and self.marks is None:
+            if sum(a.nbytes for part in self.filled for a in part) >= 3 * 4 << GRAM_BITS:
+                self.spread()
+            else:
+                self.marks = [_marks(part[0]) for part in self.filled]
+        if self.filled is None:
+            return self.counts[gram], self.totals[context], self.kinds[context]
+        return *self._numbers(0, gram), *self._numbers(1, context)
 
     def probability(self, gram: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        self.spread()
-        known = self.totals[context] > 0
-        total = np.where(known, self.totals[context], 1.0).astype(np.float64)
-        count = np.minimum(self.counts[gram], total)  # more only where a frequent gram shares the cell
-        mixed = np.maximum(count - DISCOUNT, 0.0) / total + DISCOUNT * self.kinds[context] / total * lower
+        counts, totals, kinds = self.numbers(gram, context)
+        known = totals > 0
+        total = np.where(known, totals, 1.0).astype(np.float64)
+        count = np.minimum(counts, total)  # more only where a frequent gram shares the cell
+        mixed = np.maximum(count - DISCOUNT, 0.0) / total + DISCOUNT * kinds / total * lower
         return np.where(known, mixed, lower)
 
 

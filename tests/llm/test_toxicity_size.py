@@ -79,3 +79,33 @@ def test_rows_go_to_workers_in_batches_bounded_by_bytes(spark):
         bound()
         assert docs.coalesce(1).mapInArrow(bytes_of, "n long").groupBy().max("n").first()[0] < 6 << 20
     spark.conf.unset(BATCH_BYTES)
+
+
+def _random_level(filled: int, seed: int) -> toxicity.Level:
+    rng = np.random.default_rng(seed)
+    grams, contexts = (rng.permutation(1 << toxicity.GRAM_BITS)[:n].astype(np.int32) for n in (filled, filled // 3))
+    return toxicity.Level(
+        (grams, rng.integers(1, 9, len(grams)).astype(np.float32)),
+        (contexts, *(rng.integers(1, 9, len(contexts)).astype(np.float32) for _ in range(2))),
+    )
+
+
+def _held(level: toxicity.Level) -> int:
+    parts = [*(level.filled or ()), *(level.marks or ()), [v for v in level.__dict__.values() if isinstance(v, np.ndarray)]]
+    return sum(a.nbytes for part in parts for a in part)
+
+
+def test_cells_that_are_not_filled_take_no_room():
+    """Asked for probabilities, a level of few grams held three whole tables, 12 MB, in every worker."""
+    rng = np.random.default_rng(0)
+    gram, context, lower = *rng.integers(0, 1 << toxicity.GRAM_BITS, (2, 5_000)), rng.random(5_000)
+    whole = 3 * 4 << toxicity.GRAM_BITS
+    for filled, most in ((0, 1 << 19), (1, 1 << 19), (50_000, 1 << 20), (900_000, whole)):
+        packed, spread = _random_level(filled, filled), _random_level(filled, filled)
+        spread.spread()
+        grams, contexts = packed.filled[0][0], packed.filled[1][0]
+        some = slice(0, min(len(contexts), 2_000))
+        gram[some], context[some] = grams[some], contexts[some]
+        assert (packed.probability(gram, context, lower) == spread.probability(gram, context, lower)).all()
+        assert _held(packed) <= most and _held(spread) == whole
+        assert pickle.dumps(packed) == pickle.dumps(spread)
