@@ -31,6 +31,8 @@ MIN_NEAR = 32
 # ones are cut into blocks, and every two blocks meet in a task of their own.
 SMALL = 32
 BLOCK = 2048
+# Lines whose segments a task lists at once, about fifteen each, and line lengths whose cells it keeps at hand.
+LINES_AT_ONCE, LENGTHS = 1_000, 1_024
 # Ids of compared lines sent to all tasks, at most; beyond that the lines are joined.
 BROADCAST_IDS = 500_000
 LAST_ID = 2**63 - 1
@@ -87,7 +89,7 @@ def _distance(a: str, b: str) -> int:
     return row[-1]
 
 
-@lru_cache(maxsize=8192)
+@lru_cache(maxsize=LENGTHS)
 def _cells(length: int) -> tuple[tuple[int, int, int, int], ...]:
     """(seed, start, end, role) of the substrings a line of this length files (0) and looks up (1)."""
 
@@ -133,8 +135,8 @@ def _segment_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 if len(line) >= MIN_NEAR:
                     lines[line] = None
         listed = list(lines)
-        for begin in range(0, len(listed), 20_000):
-            part = listed[begin : begin + 20_000]
+        for begin in range(0, len(listed), LINES_AT_ONCE):
+            part = listed[begin : begin + LINES_AT_ONCE]
             keys: list[int] = []
             ids: list[int] = []
             counts = []

@@ -350,7 +350,8 @@ def _packed_labelled(docs: DataFrame, chosen: DataFrame, parts: list[int]) -> Da
     some = docs.select(F.col("doc_id").cast("long").alias("id"), "doc_id", whole_text().alias("text"))
     some = some.where(remainder(F.col("doc_id")).isin(parts) & F.col("id").isNotNull())
     packed = some.select("id", _label_cell("id").alias("cell"), "text").mapInArrow(pack, "id long, size long, packed binary")
-    joined = packed.join(chosen, F.col("id") == F.col("label_id")).select("toxic", "size", "packed")
+    # Without a shuffle between them both functions would run in one task, on two Python workers, which stay.
+    joined = packed.join(chosen.hint("merge"), F.col("id") == F.col("label_id")).select("toxic", "size", "packed")
     return joined.mapInArrow(unpack, "toxic int, text binary").select("toxic", F.col("text").cast("string").alias("text"))
 
 

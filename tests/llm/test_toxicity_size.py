@@ -6,8 +6,9 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-from smelter.llm import prefix_free, toxicity
+from smelter.llm import lines, prefix_free, toxicity
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -109,3 +110,29 @@ def test_cells_that_are_not_filled_take_no_room():
         assert (packed.probability(gram, context, lower) == spread.probability(gram, context, lower)).all()
         assert _held(packed) <= most and _held(spread) == whole
         assert pickle.dumps(packed) == pickle.dumps(spread)
+
+
+def test_no_task_runs_two_python_functions(spark):
+    """With few labels the join was broadcast, so packing and unpacking met in one task, on a worker each."""
+    docs = spark.range(40).selectExpr("id as doc_id", "concat('words of ', id) as text")
+    chosen = toxicity._labels(spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic"), [1, 2, 3])
+    plan = toxicity._packed_labelled(docs, chosen, [1, 2, 3])._jdf.queryExecution().executedPlan().toString()
+    nodes = [x for x in plan.split("Initial Plan")[-1].splitlines() if "MapInArrow" in x or "Exchange" in x]
+    functions = [i for i, x in enumerate(nodes) if "MapInArrow" in x]
+    assert len(functions) == 2 and any("Exchange" in x for x in nodes[functions[0] : functions[1]])
+
+
+def test_segments_of_many_lines_leave_in_small_batches():
+    """The segments of 20,000 lines were listed at once, as some 300,000 Python numbers twice over."""
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(20, 90, 6_000)]
+    listed = [f"{w} {i:012d}" for i, w in enumerate(words)]
+    texts = pa.RecordBatch.from_arrays([pa.array(["\n".join(listed[i::7]) for i in range(7)])], ["text"])
+    got = list(lines._segment_keys(iter([texts])))
+    assert max(b.nbytes for b in got) < 1 << 20
+    keys = sorted((r["key"], r["id"]) for b in got for r in b.select(["key", "id"]).to_pylist())
+    cells = [(x, c) for x in listed for c in lines._cells(len(x))]
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    expected = [(signed(xxhash.xxh64_intdigest(x[p:q], s)), lines.line_id(x) | role) for x, (s, p, q, role) in cells]
+    assert keys == sorted(expected)
+    assert lines._cells.cache_info().maxsize <= 1024
