@@ -10,6 +10,10 @@ question with other numbers or names has the same template and a consistent map.
 Windows of plain lower-case words are joined beside them, for copies whose capitals
 have gone, and whole items stand for those that are too short for a window or too
 dense in numbers and names.
+
+Documents are cut into pieces of a few hundred tokens first.  Spark holds all matches of
+a row at once, so these keep the tokens of their window only: with those of the row, what
+a task holds would grow with the square of a text's length.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ SHORT = 4  # tokens of the shortest item
 PASSAGE = 20  # tokens in a row that are a leak, however long the item
 MIN_WORDS = 5  # of a benchmark window that are no placeholders; fewer say too little
 MIN_COVERAGE = 0.5  # of an item's canonical windows
+# Tokens of a document whose windows stand in one row; more if an item's window is over a quarter of that.
+PIECE = 512
 # Up to so many benchmark windows are sent to every task; more are met through a shuffle.
 FEW_WINDOWS = 100_000
 
@@ -46,18 +52,42 @@ def canonical_text(tidy: Column) -> Column:
     return F.regexp_replace(F.lower(measured), r"[^\p{L}\p{N}# ]", "")
 
 
-def _forms(rows: DataFrame, keys: list[str], text: str, short: bool) -> DataFrame:
+def _cut(tidy: DataFrame, keys: list[str], size: int, after: int) -> DataFrame:
+    """Texts ``tidy`` in pieces that begin every ``size`` tokens, at ``start``, and hold ``after`` tokens more; tokens ``raw``.
+
+    All but the first begin with the token before, ``lead`` of them: a unit is one only behind a number.
+    """
+    tokens = tidy.select(*keys, "tidy", F.split("tidy", " ").alias("tokens"))
+    starts = F.sequence(F.lit(0), F.size("tokens") - 1, F.lit(size))
+    begun = tokens.select(*keys, "tidy", "tokens", F.explode(starts).alias("start"))
+    lead = F.least("start", F.lit(1))
+    part = F.slice("tokens", F.col("start") + 1 - lead, lead + size + after)
+    whole = F.when(F.size("tokens") <= size, F.col("tidy"))
+    parts = begun.select(*keys, "start", lead.alias("lead"), part.alias("raw"), whole.alias("whole"))
+    return parts.select(*keys, "start", "lead", "raw", F.coalesce("whole", F.array_join("raw", " ")).alias("tidy"))
+
+
+def _forms(rows: DataFrame, keys: list[str], text: str, short: bool, longest: int = 0) -> DataFrame:
     """``keys``, tokens ``raw``, canonical ``words``, ``plain`` words, and ``hashes`` of windows.
 
-    ``hashes`` has a window from each position on: canonical ones, plain ones, and with
-    ``short`` plain ones of four tokens.  Hashes of 1, 2, 4 words give those of 2, 4, 8.
+    ``hashes`` has a window from each position on: ``many`` canonical ones, as many plain
+    ones, and with ``short`` plain ones of four tokens.  Hashes of 1, 2, 4 words give those
+    of 2, 4, 8.  With ``longest``, the tokens of the longest window that will be compared,
+    texts come in pieces: ``start`` is the position of a piece's first window, and ``lead``
+    tokens stand before it.
     Each array is a column of its own before it is used twice, or it would be computed twice.
     """
     tidy = rows.select(*keys, tidy_text(whole_text(text)).alias("tidy"))
+    if longest:
+        size = max(PIECE, 4 * longest)
+        cut = _cut(tidy, keys, size, longest - 1)
+    else:
+        size = None
+        cut = tidy.select(*keys, F.lit(0).alias("start"), F.lit(0).alias("lead"), F.split("tidy", " ").alias("raw"), "tidy")
     plain = F.regexp_replace(F.lower("tidy"), r"[^\p{L}\p{N} ]", "")
-    forms = [F.col("tidy"), canonical_text(F.col("tidy")), plain]
-    kept = [*keys, "raw", "words", "plain"]
-    split = tidy.select(*keys, *(F.split(f, " ").alias(c) for f, c in zip(forms, kept[-3:])))
+    kept = [*keys, "start", "lead", "raw", "words", "plain"]
+    forms = [canonical_text(F.col("tidy")), plain]
+    split = cut.select(*kept[:-2], *(F.split(f, " ").alias(c) for f, c in zip(forms, kept[-2:])))
     hashed = split.select(
         *kept,
         F.transform("words", lambda w: F.xxhash64(w)).alias("canonical"),
@@ -70,28 +100,30 @@ def _forms(rows: DataFrame, keys: list[str], text: str, short: bool) -> DataFram
         pair = lambda one, two: F.xxhash64(one, two)
         wider = [F.zip_with(c, t, pair).alias(c) for c, t in zip(("canonical", "folded"), later)]
         if width == SHORT:
-            few = F.slice("folded", F.lit(1), _places(SHORT)) if short else few
+            few = F.slice("folded", F.col("lead") + 1, _places(SHORT, size)) if short else few
             hashed = hashed.select(*kept, *wider, few.alias("few"))
         else:
             hashed = hashed.select(*kept, *wider, *(["few"] if "few" in hashed.columns else []))
         width *= 2
-    whole = [F.slice(c, F.lit(1), _places(WINDOW)) for c in ("canonical", "folded")]
-    return hashed.select(*kept, F.concat(*whole, "few").alias("hashes"))
+    many = _places(WINDOW, size)
+    whole = [F.slice(c, F.col("lead") + 1, many) for c in ("canonical", "folded")]
+    return hashed.select(*kept, many.alias("many"), F.concat(*whole, "few").alias("hashes"))
 
 
-def _places(width: int) -> Column:
-    """How many windows of ``width`` tokens there are."""
-    return F.greatest(F.size("words") - (width - 1), F.lit(0))
+def _places(width: int, size: int | None) -> Column:
+    """How many windows of ``width`` tokens there are, at most ``size``."""
+    there = F.greatest(F.size("words") - F.col("lead") - (width - 1), F.lit(0))
+    return there if size is None else F.least(there, F.lit(size))
 
 
 def _placed(forms: DataFrame) -> DataFrame:
-    """One row per window: ``hash``, ``kind`` (0 canonical, 1 plain, 2 plain of four) and ``pos``."""
+    """One row per window: ``hash``, ``kind`` (0 canonical, 1 plain, 2 plain of four) and ``pos`` in the text."""
     kept = [c for c in forms.columns if c != "hashes"]
     # Outer, since for an inner one Spark would compute the whole array once more to drop texts without windows.
     found = forms.select(*kept, F.posexplode_outer("hashes").alias("at", "hash"))
-    many = _places(WINDOW)
+    many = F.col("many")
     kind = F.when(F.col("at") < many, 0).when(F.col("at") < 2 * many, 1).otherwise(2)
-    return found.select(*kept, "hash", kind.alias("kind"), (F.col("at") - kind * many).alias("pos"))
+    return found.select(*kept, "hash", kind.alias("kind"), (F.col("start") + F.col("at") - kind * many).alias("pos"))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -149,21 +181,23 @@ def _meetings(forms: DataFrame, windows: DataFrame, few: bool) -> DataFrame:
     if few:
         return _placed(forms).join(F.broadcast(windows), ["hash", "kind"])
     hashes = windows.select("hash", "kind").distinct()
-    spots = _placed(forms).select("row_id", "row_hash", "hash", "kind", "pos").join(hashes, ["hash", "kind"]).distinct()
-    found = spots.join(windows, ["hash", "kind"]).withColumnsRenamed({"row_id": "spot_id", "row_hash": "spot_hash"})
+    place = {"row_id": "spot_id", "row_hash": "spot_hash", "start": "spot_start"}
+    spots = _placed(forms).select(*place, "hash", "kind", "pos").join(hashes, ["hash", "kind"]).distinct()
+    found = spots.join(windows, ["hash", "kind"]).withColumnsRenamed(place)
     same = (F.col("row_hash") == F.col("spot_hash")) & F.col("row_id").eqNullSafe(F.col("spot_id"))
-    return forms.drop("hashes").join(found, same)
+    return forms.drop("hashes").join(found, same & (F.col("start") == F.col("spot_start")))
 
 
-def _matches(docs: DataFrame, windows: DataFrame, short: bool, few: bool) -> DataFrame:
-    met = _meetings(_forms(docs, ["row_id", "row_hash"], "text", short), windows, few)
-    cut = lambda c: F.slice(c, F.col("pos") + 1, F.size("item_words"))
+def _matches(docs: DataFrame, windows: DataFrame, short: bool, few: bool, longest: int) -> DataFrame:
+    met = _meetings(_forms(docs, ["row_id", "row_hash"], "text", short, longest), windows, few)
+    begin = F.col("pos") - F.col("start") + F.col("lead") + 1
+    cut = lambda c: F.slice(c, begin, F.size("item_words"))
     doc_words = F.when(F.col("form") == 0, cut("words")).otherwise(cut("plain"))
     # Not written as an equality, which would become a part of the join key, computed for every window.
     met = met.where((doc_words <= F.col("item_words")) & (doc_words >= F.col("item_words")))
-    slots = _slots(F.col("item_words"), F.col("item_raw"), cut("raw"))
+    # Only the window's own tokens, cut in the code that joins; what is made of them would run behind it, on whole rows.
     return met.select(
-        "row_id", "row_hash", "item_id", "form", "item_windows", "item_pos", "pos", slots.alias("slots")
+        "row_id", "row_hash", "item_id", "form", "item_windows", "item_pos", "pos", "item_words", "item_raw", cut("raw").alias("doc_raw")
     ).distinct()
 
 
@@ -179,15 +213,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     without leaks, or with an empty table on either side, no rows.
     """
     windows = benchmark_windows(benchmark)
-    size = windows.agg(F.count(F.lit(1)), F.max("kind")).first()
+    size = windows.agg(F.count(F.lit(1)), F.max("kind"), F.max(F.size("item_words"))).first()
     rows = with_row_key(docs.select("doc_id", "text"), "row")
-    found = _matches(rows, windows, short=size[1] == 2, few=size[0] <= FEW_WINDOWS)
+    found = _matches(rows, windows, short=size[1] == 2, few=size[0] <= FEW_WINDOWS, longest=max(WINDOW, size[2] or 0))
     pair = ["row_id", "row_hash", "item_id", "form", "item_windows"]
     lines = found.groupBy(*pair, (F.col("pos") - F.col("item_pos")).alias("shift"))
+    slots = _slots(F.col("item_words"), F.col("item_raw"), F.col("doc_raw"))
     passages = lines.agg(
         F.sort_array(F.collect_set("item_pos")).alias("places"),
         F.min("pos").alias("first_pos"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"),
     )
     sources = F.size(F.array_distinct(F.transform("slots", lambda s: s["i"])))
     row = PASSAGE - WINDOW + 1  # windows of a passage

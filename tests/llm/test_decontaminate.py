@@ -58,3 +58,33 @@ def test_a_leak_in_a_very_long_text(spark, few):
     docs = spark.createDataFrame([(1, text + " " + LONG.lower() + " " + text)], "doc_id long, text string")
     found = decontaminate.contaminated(docs, spark.createDataFrame(BENCH, "item_id long, text string")).collect()
     assert [(r.item_id, r.first_pos, r.coverage) for r in found] == [(1, 50_000, 1.0)]
+
+
+def _leaks(got):
+    return sorted(map(str, got.drop("row_hash").withColumnRenamed("row_id", "doc_id").toPandas().astype("float").itertuples(index=False)))
+
+
+def test_leaks_across_the_ends_of_pieces(spark, few, monkeypatch):
+    """Windows, units behind numbers and whole dense items are found wherever a piece of a text ends."""
+    walk = "they walk 12 km and then 3 miles or 5 km to get to the old house by the sea"
+    shapes = [LONG.lower(), LONG.replace("90", "3"), walk.replace("12", "14"), DENSE.replace("5", "9"), "what is the CAPITAL of france"]
+    rows = [(100 * i + n, f"{' '.join(['so'] * n)} {x} and {x} there") for i, x in enumerate(shapes) for n in range(0, 66, 3)]
+    docs = spark.createDataFrame([*rows, (None, rows[3][1])], "doc_id long, text string")
+    bench = spark.createDataFrame([*BENCH, (7, walk)], "item_id long, text string")
+    whole = _leaks(decontaminate.contaminated(docs, bench))
+    assert len(whole) == len(rows) + 1
+    monkeypatch.setattr(decontaminate, "PIECE", 1)  # 64 tokens, as the longest item that is looked for whole has 16
+    assert _leaks(decontaminate.contaminated(docs, bench)) == whole
+
+
+def test_matches_do_not_carry_the_whole_text(spark, few, monkeypatch):
+    """Every matched window came with all tokens of its text, and Spark held those of a text at once."""
+    met = []
+    meetings = decontaminate._meetings
+    monkeypatch.setattr(decontaminate, "_meetings", lambda *a: met.append(meetings(*a)) or met[-1])
+    text = " ".join([" ".join(f"w{i}x{k}" for i in range(500)) + " " + LONG for k in range(20)])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame(BENCH, "item_id long, text string")).collect()
+    assert [(r.item_id, r.first_pos, r.coverage, r.changed) for r in found] == [(1, 500, 1.0, 0)]
+    row = met[0].selectExpr("count(*) as n", "max(size(raw)) as tokens").first()
+    assert row.n >= 20 * 30 and row.tokens < 1000 < len(text.split())
