@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
+import corpus_pipeline
 from smelter.llm import decontaminate
 
 LONG = (
@@ -88,3 +89,18 @@ def test_matches_do_not_carry_the_whole_text(spark, few, monkeypatch):
     assert [(r.item_id, r.first_pos, r.coverage, r.changed) for r in found] == [(1, 500, 1.0, 0)]
     row = met[0].selectExpr("count(*) as n", "max(size(raw)) as tokens").first()
     assert row.n >= 20 * 30 and row.tokens < 1000 < len(text.split())
+
+
+def test_stage_drops_a_leak_in_a_long_text(spark, monkeypatch, tmp_path):
+    """The pipeline's stage keeps the other rows and columns, and holds no text once per match."""
+    met = []
+    meetings = decontaminate._meetings
+    monkeypatch.setattr(decontaminate, "_meetings", lambda *a: met.append(meetings(*a)) or met[-1])
+    spark.createDataFrame(BENCH, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    filler = " ".join(f"w{i}x" for i in range(6_000))
+    rows = [(1, f"{filler} {LONG.replace('90', '70')} {filler}", "a"), (1, filler, "b"), (None, filler, "c"), (None, f"{filler} {LONG}", "d"), (4, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(r.source for r in kept.collect()) == ["b", "c", "e"]
+    assert met[0].selectExpr("max(size(raw))").first()[0] < 1000
